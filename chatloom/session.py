@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -56,3 +58,18 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     hadoop = jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="chatloom-ship-")  # the driver serves the archive from here
+    spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(folder, "chatloom"), "zip", os.path.dirname(root), os.path.basename(root)))
+    _SHIPPED.add(app)
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)

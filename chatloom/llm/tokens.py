@@ -28,11 +28,11 @@ from chatloom.session import stage
 TOKENIZER = "byte_bpe_50k"
 #: Most bytes of words in a distinct-word table that is looked up from memory; a larger one is joined by a shuffle.
 WORD_TABLE_BYTES = 48 << 20
-# White space of the tokenizer's pattern, which Java's \s does not cover whole.
-BLANK = r"\s\x0B\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-#: A word: a run of other characters with the white space before it. The tokenizer's own pattern never joins characters
-#: across the start of such a word, and looks ahead only inside white space, so a word's ids don't depend on its place.
-WORD = rf"[{BLANK}]*[^{BLANK}]+|[{BLANK}]+"
+# White space of the tokenizer's pattern beyond Java's \s.
+BLANKS = r"\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+#: Words begin where white space follows another character. The tokenizer's own pattern never joins characters across such
+#: a place and looks ahead only inside white space, so a word's ids don't depend on its place in the text.
+WORD_START = rf"(?=\s)(?<=[^\s{BLANKS}])"
 # Fixed value: the pattern that splits a text before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -58,7 +58,7 @@ def encoding(folder: str, name: str):
 
 def words(text: Column) -> Column:
     """The words of ``text`` in order; their concatenation is the text."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
+    return F.split(F.coalesce(text, F.lit("")), WORD_START)
 
 
 def word_table(df: DataFrame, text: str, name: str = TOKENIZER, folder: str | None = None) -> DataFrame:
@@ -147,6 +147,25 @@ def encode(df: DataFrame, key: str, text: str, name: str = TOKENIZER, folder: st
     return df.select(key, words(F.col(text)).alias("words")).mapInArrow(look_up, f"`{key}` {kind}, ids array<int>")
 
 
+def sizes(df: DataFrame, key: str, text: str, name: str = TOKENIZER, folder: str | None = None, word_table_bytes: int = WORD_TABLE_BYTES) -> DataFrame:
+    """(``key``, tokens) for every row of ``df``: how many ids ``text`` has."""
+    vocabulary = word_table(df, text, name, folder)
+    path = small_enough(vocabulary, word_table_bytes)
+    if path is None:
+        return encode_by_join(df, key, text, vocabulary).select(key, F.size("ids").cast("bigint").alias("tokens"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = load_vocabulary(path)
+        for batch in batches:
+            spans = batch.column(1)
+            ends = np.cumsum(pc.list_value_length(spans).to_numpy(zero_copy_only=False).astype(np.int64))
+            sums = np.concatenate([[0], np.cumsum(known.counts[known.index(spans.flatten())])])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(sums[np.concatenate([[0], ends])]))], names=[key, "tokens"])
+
+    kind = df.schema[key].dataType.simpleString()
+    return df.select(key, words(F.col(text)).alias("words")).mapInArrow(count, f"`{key}` {kind}, tokens bigint")
+
+
 def encode_by_join(df: DataFrame, key: str, text: str, vocabulary: DataFrame) -> DataFrame:
     """The same by a shuffle on the word, for a distinct-word table of any size.
 

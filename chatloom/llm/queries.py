@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatloom.session import table
@@ -24,6 +24,34 @@ def _p1_canonical(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.canonical(lookalike.messages(table(spark, d, "chat_record")), "content").select("record_id", "turn", "canonical")
 
 
+def _size() -> Column:
+    return F.length(F.coalesce("instruction", F.lit(""))) + F.length(F.coalesce("response", F.lit("")))
+
+
+def _p2_mixture(spark: SparkSession, d: str) -> DataFrame:
+    from chatloom.llm import mixing
+
+    return mixing.mix(table(spark, d, "dataset"), "pair_id", "source", _size(), table(spark, d, "mix_target"))
+
+
+def _p2_report(spark: SparkSession, d: str) -> DataFrame:
+    from chatloom.llm import mixing
+
+    return mixing.report(_p2_mixture(spark, d), table(spark, d, "mix_target"), "pair_id", table(spark, d, "dataset"))
+
+
+def _p5_found(spark: SparkSession, d: str) -> DataFrame:
+    from chatloom.llm import repetition
+
+    return repetition.repetitive(table(spark, d, "dataset"), "pair_id", "response", "lang")
+
+
+def _p5_share(spark: SparkSession, d: str) -> DataFrame:
+    from chatloom.llm import repetition
+
+    return repetition.repetition(table(spark, d, "dataset"), "pair_id", "response", "lang").drop("recurring_ref").distinct()
+
+
 def _p8_ids(spark: SparkSession, d: str) -> DataFrame:
     from chatloom.llm import tokens
 
@@ -58,6 +86,10 @@ def queries() -> dict[str, Query]:
     return {
         "p1_found": _p1_found,
         "p1_canonical": _p1_canonical,
+        "p2_mixture": _p2_mixture,
+        "p2_report": _p2_report,
+        "p5_found": _p5_found,
+        "p5_share": _p5_share,
         "p8_ids": _p8_ids,
         "p8_decoded": _p8_decoded,
         "p9_containers": _p9_containers,

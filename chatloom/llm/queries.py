@@ -40,6 +40,17 @@ def _p2_report(spark: SparkSession, d: str) -> DataFrame:
     return mixing.report(_p2_mixture(spark, d), table(spark, d, "mix_target"), "pair_id", table(spark, d, "dataset"))
 
 
+def _p4_restored(spark: SparkSession, d: str) -> DataFrame:
+    """The affected messages and their content as it was written, as far as it can be told."""
+    from chatloom.llm import lookalike, mojibake
+
+    return mojibake.garbled(lookalike.messages(table(spark, d, "chat_record")), "content").where("garbled").select("record_id", "turn", "restored")
+
+
+def _p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return _p4_restored(spark, d).select("record_id", "turn").distinct()
+
+
 def _p5_found(spark: SparkSession, d: str) -> DataFrame:
     from chatloom.llm import repetition
 
@@ -88,6 +99,8 @@ def queries() -> dict[str, Query]:
         "p1_canonical": _p1_canonical,
         "p2_mixture": _p2_mixture,
         "p2_report": _p2_report,
+        "p4_found": _p4_found,
+        "p4_restored": _p4_restored,
         "p5_found": _p5_found,
         "p5_share": _p5_share,
         "p8_ids": _p8_ids,

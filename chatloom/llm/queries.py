@@ -40,6 +40,27 @@ def _p2_report(spark: SparkSession, d: str) -> DataFrame:
     return mixing.report(_p2_mixture(spark, d), table(spark, d, "mix_target"), "pair_id", table(spark, d, "dataset"))
 
 
+def _p3_scored(spark: SparkSession, d: str) -> DataFrame:
+    from chatloom.llm import abuse
+
+    model = abuse.train(abuse.labelled_rows(table(spark, d, "abuse_label"), "text", "is_abusive"))
+    return abuse.score(table(spark, d, "dataset").select("pair_id", "source", "response"), "response", model).drop("response")
+
+
+def _p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return _p3_scored(spark, d).where("abusive").select("pair_id").distinct()
+
+
+def _p3_score(spark: SparkSession, d: str) -> DataFrame:
+    return _p3_scored(spark, d).groupBy("pair_id").agg(F.max("score").alias("score"))
+
+
+def _p3_rates(spark: SparkSession, d: str) -> DataFrame:
+    from chatloom.llm import abuse
+
+    return abuse.rates(_p3_scored(spark, d).groupBy("pair_id").agg(F.min("source").alias("source"), F.max("abusive").alias("abusive")), "source")
+
+
 def _p4_restored(spark: SparkSession, d: str) -> DataFrame:
     """The affected messages and their content as it was written, as far as it can be told."""
     from chatloom.llm import lookalike, mojibake
@@ -99,6 +120,9 @@ def queries() -> dict[str, Query]:
         "p1_canonical": _p1_canonical,
         "p2_mixture": _p2_mixture,
         "p2_report": _p2_report,
+        "p3_found": _p3_found,
+        "p3_score": _p3_score,
+        "p3_rates": _p3_rates,
         "p4_found": _p4_found,
         "p4_restored": _p4_restored,
         "p5_found": _p5_found,

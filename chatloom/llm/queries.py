@@ -84,6 +84,18 @@ def _p5_share(spark: SparkSession, d: str) -> DataFrame:
     return repetition.repetition(table(spark, d, "dataset"), "pair_id", "response", "lang").drop("recurring_ref").distinct()
 
 
+def _p7_links(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    from chatloom.llm import nearpairs
+
+    return nearpairs.links(table(spark, d, "dataset"), "pair_id", ["instruction", "response"])
+
+
+def _p7_found(spark: SparkSession, d: str) -> DataFrame:
+    from chatloom.llm import nearpairs
+
+    return nearpairs.all_pairs(*_p7_links(spark, d), "pair_id")
+
+
 def _p8_ids(spark: SparkSession, d: str) -> DataFrame:
     from chatloom.llm import tokens
 
@@ -127,6 +139,7 @@ def queries() -> dict[str, Query]:
         "p4_restored": _p4_restored,
         "p5_found": _p5_found,
         "p5_share": _p5_share,
+        "p7_found": _p7_found,
         "p8_ids": _p8_ids,
         "p8_decoded": _p8_decoded,
         "p9_containers": _p9_containers,

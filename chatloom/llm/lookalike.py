@@ -29,8 +29,8 @@ LOOKALIKES = (
     ("ɑɡɩᴏᴄᴠᴡᴢꜱ", "agiocvwzs"),  # Latin letter forms
     ("ⅰⅴⅹⅼⅽⅾⅿⅠⅤⅩⅬⅭⅮⅯ", "ivxlcdmIVXLCDM"),  # numerals of one letter
 )
-SPACES = "               　"
-HYPHENS = "‐‑﹣－"
+SPACES = "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+HYPHENS = "\u2010\u2011\ufe63\uff0d"
 #: Code points that are never seen, as inclusive ranges.
 UNSEEN = (
     (0x00, 0x08), (0x0E, 0x1B), (0x7F, 0x84), (0x86, 0x9F), (0xAD, 0xAD), (0x034F, 0x034F), (0x061C, 0x061C), (0x115F, 0x1160),
@@ -41,7 +41,7 @@ UNSEEN = (
 WIDTHS = ("<wide>", "<narrow>", "<small>", "<vertical>")
 LIGATURES = "Ĳĳﬀﬁﬂﬃﬄﬅﬆﬓﬔﬕﬖﬗ"
 #: A joiner between pictographs changes what is seen; it is kept as this private character.
-JOINER = ""
+JOINER = "\ue000"
 PICTOGRAPHS = r"[\x{2190}-\x{2BFF}\x{1F000}-\x{1FAFF}\x{FE0F}]"
 
 

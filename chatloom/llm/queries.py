@@ -84,6 +84,12 @@ def _p5_share(spark: SparkSession, d: str) -> DataFrame:
     return repetition.repetition(table(spark, d, "dataset"), "pair_id", "response", "lang").drop("recurring_ref").distinct()
 
 
+def _p6_found(spark: SparkSession, d: str) -> DataFrame:
+    from chatloom.llm import defects
+
+    return defects.defects(table(spark, d, "dataset"), "pair_id", "instruction", "response")
+
+
 def _p7_links(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     from chatloom.llm import nearpairs
 
@@ -139,6 +145,7 @@ def queries() -> dict[str, Query]:
         "p4_restored": _p4_restored,
         "p5_found": _p5_found,
         "p5_share": _p5_share,
+        "p6_found": _p6_found,
         "p7_found": _p7_found,
         "p8_ids": _p8_ids,
         "p8_decoded": _p8_decoded,

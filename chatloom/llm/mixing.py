@@ -46,7 +46,7 @@ def plan(sized: DataFrame, targets: DataFrame) -> DataFrame:
     usable = F.when(F.col("available") > 0, F.col("target_share")).otherwise(0.0)
     everything = Window.partitionBy()
     in_order = Window.orderBy("source").rowsBetween(Window.unboundedPreceding, 0)
-    weighted = both.withColumn("weight", usable / F.sum(usable).over(everything))
+    weighted = both.withColumn("weight", F.try_divide(usable, F.sum(usable).over(everything)))
     most = F.min(F.when(F.col("weight") > 0, F.col("available") * F.col("max_repeats") / F.col("weight"))).over(everything)
     return (
         weighted.withColumn("total", most)

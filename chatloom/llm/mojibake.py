@@ -24,6 +24,8 @@ from chatloom.session import stage
 
 #: A pair's mutual information counts half where it makes up this share of all pairs.
 DISCOUNT = 1e-3
+#: The same as a number of occurrences, in a small corpus.
+LEAST_COUNT = 8.0
 #: Discounted mutual information (nats) from which a pair is ordinary.
 ORDINARY = 4.0
 #: Score of a pair of ASCII characters: a wrong decoding leaves them alone, so they end a run.
@@ -81,8 +83,8 @@ def _codecs() -> list[tuple[str, dict[str, int], re.Pattern[str]]]:
     return out
 
 
-def _decoded(match: str, to_byte: dict[str, int], name: str) -> str | None:
-    """The plausible text whose UTF-8 bytes were read as ``match``, else None."""
+def _decoded(match: str, to_byte: dict[str, int], name: str, in_word: bool) -> str | None:
+    """The plausible text whose UTF-8 bytes were read as ``match``, else None; ``in_word`` if a letter stands beside it."""
     if _RUSSIAN.fullmatch(match):
         return None
     try:
@@ -95,7 +97,7 @@ def _decoded(match: str, to_byte: dict[str, int], name: str) -> str | None:
         return None  # one letter is too little to tell
     if name in ("koi8_r", "cp866") and len(_CYRILLIC.findall(text)) < 2:
         return None  # only garbled Cyrillic is told from text in these
-    if _BOX.fullmatch(match) and len(_CYRILLIC.findall(text)) < 2:
+    if _BOX.fullmatch(match) and len(_CYRILLIC.findall(text)) < 2 and not (in_word and text.isalpha()):
         return None  # a drawing
     if len(text) == 1 and len(match) == 2 and match[1] in _TYPOGRAPHY and (_CYRILLIC.match(match[0]) or match[0] in "–—œŒ"):
         return None
@@ -180,7 +182,8 @@ def restore(run: str, keys: np.ndarray, scores: np.ndarray) -> tuple[str, bool]:
 
             def put(m: re.Match[str], to_byte: dict[str, int] = to_byte, name: str = name) -> str:
                 nonlocal gained
-                text = _decoded(m.group(), to_byte, name)
+                beside = m.string[max(0, m.start() - 1) : m.start()] + m.string[m.end() : m.end() + 1]
+                text = _decoded(m.group(), to_byte, name, any(c.isalpha() for c in beside))
                 if text is None:
                     return m.group()
                 gained += len(m.group())
@@ -238,7 +241,7 @@ def pair_table(df: DataFrame, text: str) -> DataFrame:
     lefts = pairs.groupBy("left").agg(F.sum("n").alias("n_left"))
     rights = pairs.groupBy("right").agg(F.sum("n").alias("n_right"))
     kept = pairs.where((F.col("n") >= LEAST_SHARE * total) & ((F.col("left") > 127) | (F.col("right") > 127)))
-    information = F.log(F.col("n") * F.lit(float(total)) / (F.col("n_left") * F.col("n_right"))) * F.col("n") / (F.col("n") + DISCOUNT * total)
+    information = F.log(F.col("n") * F.lit(float(total)) / (F.col("n_left") * F.col("n_right"))) * F.col("n") / (F.col("n") + max(DISCOUNT * total, LEAST_COUNT))
     return stage(kept.join(lefts, "left").join(rights, "right").select("left", "right", (ORDINARY - information).alias("score")).coalesce(1), "scores")
 
 

@@ -102,6 +102,12 @@ def _p7_found(spark: SparkSession, d: str) -> DataFrame:
     return nearpairs.all_pairs(*_p7_links(spark, d), "pair_id")
 
 
+def _p7_groups(spark: SparkSession, d: str) -> DataFrame:
+    from chatloom.llm import nearpairs
+
+    return nearpairs.groups(*_p7_links(spark, d), "pair_id")
+
+
 def _p8_ids(spark: SparkSession, d: str) -> DataFrame:
     from chatloom.llm import tokens
 
@@ -147,6 +153,7 @@ def queries() -> dict[str, Query]:
         "p5_share": _p5_share,
         "p6_found": _p6_found,
         "p7_found": _p7_found,
+        "p7_groups": _p7_groups,
         "p8_ids": _p8_ids,
         "p8_decoded": _p8_decoded,
         "p9_containers": _p9_containers,

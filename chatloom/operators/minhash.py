@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.operators.components import connected_components
-from chatloom.session import stage
+from chatloom.session import spread, stage
 
 # The prime and the largest value of the hash family, and the seed of its parameters.
 PRIME = (1 << 61) - 1
@@ -63,13 +63,16 @@ def _hash32(token: str) -> int:
     return int.from_bytes(hashlib.sha1(token.encode("utf-8", "replace")).digest()[:4], "little")
 
 
-def minhash(runs: list[str], factors: np.ndarray, shifts: np.ndarray, block: int = 4096) -> np.ndarray:
+def minhash(runs: list[str], factors: np.ndarray, shifts: np.ndarray, block: int = 512) -> np.ndarray:
     """The signature of a set of shingles; LARGEST everywhere for an empty one."""
     out = np.full(len(factors), LARGEST, np.uint64)
     hashes = np.fromiter(map(_hash32, runs), np.uint64, len(runs))
     for low in range(0, len(hashes), block):  # bounds the memory of very long texts
-        values = (hashes[low : low + block, None] * factors + shifts) % np.uint64(PRIME) & np.uint64(LARGEST)
-        out = np.minimum(out, values.min(0))
+        values = hashes[low : low + block, None] * factors + shifts
+        # modulo 2^61 - 1 without a division: fold the top bits once, then subtract the prime where it is reached
+        values = (values & np.uint64(PRIME)) + (values >> np.uint64(61))
+        values -= np.where(values >= np.uint64(PRIME), np.uint64(PRIME), np.uint64(0))
+        out = np.minimum(out, (values & np.uint64(LARGEST)).min(0))
     return out
 
 
@@ -87,7 +90,7 @@ def signatures(df: DataFrame, key: str, text: str, ngram_size: int = 5, num_perm
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=[key, "signature"])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, tokens(F.col(text)).alias("words")).mapInArrow(run, f"`{key}` {kind}, signature array<bigint>")
+    return spread(df.select(key, text)).select(key, tokens(F.col(text)).alias("words")).mapInArrow(run, f"`{key}` {kind}, signature array<bigint>")
 
 
 def band_keys(signed: DataFrame, key: str, bands: int, rows: int) -> DataFrame:

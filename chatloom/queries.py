@@ -12,7 +12,7 @@ from chatloom.operators import conversation, edits, minhash, relational, samplin
 from chatloom.operators.components import connected_components
 from chatloom.plans import registry
 from chatloom.plans.pipeline import apply_cleaners, run_conversations
-from chatloom.session import table
+from chatloom.session import spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,7 +33,7 @@ def conversation_pipeline(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", "text")
+    return spread(table(spark, d, "documents").select("doc_id", "text"))
 
 
 def _score(make: Callable[[], filters.Filter]) -> Query:

@@ -60,6 +60,17 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` on all cores: a plain scan of fewer partitions than cores is repartitioned, anything else stays as it is.
+
+    For stages that cost far more than moving their input; a large table has more partitions than cores and isn't moved.
+    """
+    context = df.sparkSession.sparkContext
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
+    return df.repartition(context.defaultParallelism) if df.rdd.getNumPartitions() < context.defaultParallelism else df
+
+
 _SHIPPED: set[str] = set()
 
 

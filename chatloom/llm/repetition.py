@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.session import stage
+from chatloom.session import spread, stage
 
 PASSAGE = 4
 MIN_WORDS = PASSAGE + 1
@@ -104,7 +104,7 @@ def histograms(df: DataFrame, key: str, text: str, lang: str) -> DataFrame:
 
     kind = df.schema[key].dataType.simpleString()
     schema = f"key {kind}, lang string, words int, repeated int, chars array<int>, bins array<int>"
-    return stage(df.select(key, lang, text).mapInArrow(run, schema), "histograms").withColumnRenamed("key", key)
+    return stage(spread(df.select(key, lang, text)).mapInArrow(run, schema), "histograms").withColumnRenamed("key", key)
 
 
 def references(found: DataFrame) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.llm import tokens as T
+from chatloom.session import spread
 
 LIMIT, OVERLAP = 1024, 64
 #: Penalties of a cut before a word, by the kind of boundary.
@@ -189,4 +190,4 @@ def split(df: DataFrame, key: str, text: str, limit: int = LIMIT, overlap: int =
             yield pa.RecordBatch.from_arrays(arrays, names=[key, "piece", "first_char", "last_char", "tokens", "text"])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, T.words(F.col(text)).alias("words")).mapInArrow(run, f"`{key}` {kind}, {PIECES_SCHEMA}")
+    return spread(df.select(key, text)).select(key, T.words(F.col(text)).alias("words")).mapInArrow(run, f"`{key}` {kind}, {PIECES_SCHEMA}")

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.session import stage
+from chatloom.session import spread, stage
 
 TOKENIZER = "byte_bpe_50k"
 #: Most bytes of words in a distinct-word table that is looked up from memory; a larger one is joined by a shuffle.
@@ -74,7 +74,7 @@ def word_table(df: DataFrame, text: str, name: str = TOKENIZER, folder: str | No
             ids = [bpe.encode_ordinary(w) for w in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["word", "ids"])
 
-    distinct = df.select(F.explode(words(F.col(text))).alias("word")).distinct()
+    distinct = spread(df.select(text)).select(F.explode(words(F.col(text))).alias("word")).distinct()
     return stage(distinct.mapInArrow(encode, "word string, ids array<int>"), "words")
 
 
@@ -144,7 +144,7 @@ def encode(df: DataFrame, key: str, text: str, name: str = TOKENIZER, folder: st
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=[key, "ids"])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, words(F.col(text)).alias("words")).mapInArrow(look_up, f"`{key}` {kind}, ids array<int>")
+    return spread(df.select(key, text)).select(key, words(F.col(text)).alias("words")).mapInArrow(look_up, f"`{key}` {kind}, ids array<int>")
 
 
 def sizes(df: DataFrame, key: str, text: str, name: str = TOKENIZER, folder: str | None = None, word_table_bytes: int = WORD_TABLE_BYTES) -> DataFrame:
@@ -163,7 +163,7 @@ def sizes(df: DataFrame, key: str, text: str, name: str = TOKENIZER, folder: str
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(sums[np.concatenate([[0], ends])]))], names=[key, "tokens"])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, words(F.col(text)).alias("words")).mapInArrow(count, f"`{key}` {kind}, tokens bigint")
+    return spread(df.select(key, text)).select(key, words(F.col(text)).alias("words")).mapInArrow(count, f"`{key}` {kind}, tokens bigint")
 
 
 def encode_by_join(df: DataFrame, key: str, text: str, vocabulary: DataFrame) -> DataFrame:

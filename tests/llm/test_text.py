@@ -83,7 +83,7 @@ def test_garbled(spark):
 
 
 def test_exchanged_encodings(spark):
-    clean = ["Ночной рынок скрывает сложный ответ на балконе.", "Старый дом заменяет сложный ответ за углом.", "Ночной поезд скрывает старый рынок."] * 40
+    clean = ["Ночной рынок скрывает сложный ответ на балконе.", "Старый дом заменяет сложный ответ за углом.", "Ночной поезд скрывает старый рынок."] * 400
     broken = "Старый рынок скрывает сложный дом.".encode("koi8_r").decode("cp1251")
     df = spark.createDataFrame([(i, t) for i, t in enumerate([*clean, broken])], "id int, t string")
     hits = {r.id: r.restored for r in mojibake.garbled(df, "t").where("garbled").collect()}

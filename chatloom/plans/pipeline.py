@@ -95,15 +95,26 @@ class Preprocessor:
         return self.skip + (self.options().get("num_perm", 256) if self.deduplication.get("do_deduplication") else 0)
 
 
+def delivered(rows: DataFrame, id_column: str) -> DataFrame:
+    """Every answer once, with row_id: a struct that keeps the order of records and turns and tells different contents apart."""
+    content = ["input", "output", "instruction", "response", "source"]
+    # as they are rebuilt: training marks and the white space about the answer make no other content
+    plain = F.transform("input", lambda m: F.struct(m["content"].alias("content"), F.lit(False).alias("do_train"), m["role"].alias("role")))
+    answer = F.struct(F.col("response").alias("content"), F.lit(True).alias("do_train"), F.col("output.role").alias("role"))
+    once = rows.withColumns({"input": plain, "output": answer}).groupBy(id_column, "turn", *content).agg(F.count(F.lit(1)).alias("__copies"))
+    copies = F.when(F.col(id_column).isNull(), F.col("__copies")).otherwise(F.lit(1))
+    once = once.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), copies.cast("bigint"))))
+    row_id = F.struct(F.col(id_column).alias("record"), F.col("turn"), F.xxhash64(*content).alias("content"), F.col("__copy").alias("copy"))
+    return once.withColumn("row_id", row_id).drop("__copies", "__copy")
+
+
 def run_conversations(records: DataFrame, config: dict, id_column: str, intended: bool = False, shuffle: bool = True) -> DataFrame:
     """(conversation, source): explode, clean and filter answers, filter instructions, deduplicate both, rebuild, shuffle.
 
-    ``id_column`` identifies a record; the row id of an answer is its rank by (record, turn).
+    ``id_column`` identifies a record; rows of an equal id, turn and content are one delivery and count once. Rows that
+    differ in any of these are all kept, and so is every row without an id.
     """
-    rows = conversation.add_content_columns(conversation.to_input_output(records, keep=(id_column,)))
-    # a row id that keeps the order of records and turns: turns are below 2^20
-    rows = rows.withColumn("row_id", F.col(id_column).cast("bigint") * F.lit(1 << 20) + F.col("turn"))
-    rows = rows.dropDuplicates(["row_id"])
+    rows = delivered(conversation.add_content_columns(conversation.to_input_output(records, keep=(id_column,))), id_column)
     answers_config, questions_config = config.get("response_config") or {}, config.get("instruction_config") or {}
     answers = Preprocessor(rows, "response", registry.cleaners_from_config(answers_config, intended), registry.filters_from_config(answers_config, intended),
                            answers_config.get("deduplication") or {}, "row_id", intended=intended)

@@ -21,10 +21,17 @@ def load_all(spark: SparkSession, paths: list[str], id_column: str) -> DataFrame
     """The union of all data sets, their paths as source where they have none, with ``id_column``.
 
     Where a data set has no such column, ids follow the order of its files: a numbering inside each file block plus the rows
-    of the blocks before it, so no single task numbers all rows.
+    of the blocks before it, so no single task numbers all rows. The numbering goes on over the data sets, after the greatest
+    number that one brings along, so no two of its ids coincide.
     """
     parts = {path: load(spark, path) for path in paths}
-    return combine({path: df if id_column in df.columns else number(df, id_column) for path, df in parts.items()})
+    own = [df.agg(F.max(F.expr(f"try_cast(`{id_column}` AS bigint)"))).first()[0] for df in parts.values() if id_column in df.columns] if any(id_column not in df.columns for df in parts.values()) else []
+    start = max((n for n in own if n is not None), default=-1) + 1
+    for path, df in parts.items():
+        if id_column not in df.columns:
+            parts[path] = number(df, id_column).withColumn(id_column, F.col(id_column) + F.lit(start).cast("bigint"))
+            start += df.count()
+    return combine(parts)
 
 
 def number(df: DataFrame, out: str) -> DataFrame:

@@ -153,6 +153,32 @@ def test_files(spark, tmp_path):
     assert sorted(r.n for r in numbered.collect()) == list(range(10))
 
 
+def test_job_on_several_data_sets(spark, tmp_path):
+    """Equal ids of different data sets, null ids and repeated deliveries: only equal rows of an equal id count once."""
+    from chatloom.plans import config
+
+    schema = "record_id bigint, conversation array<struct<content: string, do_train: boolean, role: string>>, source string"
+
+    def talk(i, name, n):
+        return (i, [("Question " + name, False, "user"), (f"Answer {n} of {name}", True, "bot")], "web")
+
+    sets = {
+        "a": spark.createDataFrame([talk(i, "a", i) for i in range(6)] + [talk(0, "a", 0)], schema),
+        "b": spark.createDataFrame([talk(i, "b", i) for i in range(6)] + [talk(None, "b", 90), talk(None, "b", 91), talk(None, "b", 91)], schema),
+        "c": spark.createDataFrame([talk(0, "c", i) for i in range(5)], schema).drop("record_id"),
+        "d": spark.createDataFrame([talk(0, "c", i) for i in range(5)], schema).drop("record_id"),
+    }
+    for name, df in sets.items():
+        files.write(df.coalesce(1), str(tmp_path / name))
+    ids = files.load_all(spark, [str(tmp_path / x) for x in "acd"], "record_id").where("conversation[0].content = 'Question c'")
+    assert sorted(r.record_id for r in ids.collect()) == list(range(6, 16))
+    job = {"datasets": [{"dataset_path": str(tmp_path / x)} for x in sets], "output_dataset_path": str(tmp_path / "out"), "instruction_config": {}, "response_config": {}}
+    config.run(spark, job)
+    found = sorted(r.conversation[-1].content for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    b = [f"Answer {n} of b" for n in (0, 1, 2, 3, 4, 5, 90, 91, 91)]
+    assert found == sorted([f"Answer {i} of a" for i in range(6)] + b + 2 * [f"Answer {i} of c" for i in range(5)])
+
+
 def test_stream(spark, tmp_path):
     from chatloom.streaming import rows
 

@@ -197,3 +197,20 @@ def test_whole_tables(spark):
     rows = [(r.pair_id, r.instruction, r.response) for r in table(spark, d, "dataset").dropDuplicates(["pair_id"]).collect()]
     linked, members = nearpairs.links(table(spark, d, "dataset"), "pair_id", ["instruction", "response"])
     assert {tuple(r) for r in nearpairs.all_pairs(linked, members, "pair_id").collect()} == near(rows, 0.7, 60)
+
+
+def test_a_third_of_the_rows(spark):
+    """Edited versions of one text, whose common words are all heavy: edits are words that other records have, too."""
+    rng = random.Random(12)
+    base = [f"base{i}" for i in range(120)]
+    rows = []
+    for i in range(600):
+        words = list(base) if i % 3 == 0 else [f"w{rng.randrange(3000)}" for _ in range(120)]
+        for spot in rng.sample(range(120), rng.choice([6, 10])):
+            words[spot] = f"w{rng.randrange(3000)}"
+        rows.append((i, " ".join(words[:60]), " ".join(words[60:])))
+    df = spark.createDataFrame(rows, "id bigint, a string, b string").repartition(4)
+    linked, members = nearpairs.links(df, "id", ["a", "b"])
+    found = {tuple(r) for r in nearpairs.all_pairs(linked, members, "id").collect()}
+    expected = near(rows, 0.7, 60)
+    assert len(expected) > 19_000 and found <= expected and len(found) >= 0.99 * len(expected)

@@ -214,3 +214,17 @@ def test_a_third_of_the_rows(spark):
     found = {tuple(r) for r in nearpairs.all_pairs(linked, members, "id").collect()}
     expected = near(rows, 0.7, 60)
     assert len(expected) > 19_000 and found <= expected and len(found) >= 0.99 * len(expected)
+
+
+def test_pairs_of_rare_words_at_any_size(spark, monkeypatch):
+    """Two records whose words no other record has, among many more elements than the table of counts may hold."""
+    rows = records(14, 40, 90)
+    for i in range(20):
+        words = [f"rare{i}x{k}" for k in range(90)]
+        rows += [(5000 + 2 * i, " ".join(words), None), (5001 + 2 * i, " ".join(words[5:]), None)]
+    df = spark.createDataFrame(rows, "id bigint, a string, b string").repartition(4)
+    found = []
+    for most in (nearpairs.COUNT_TABLE_ROWS, 500):
+        monkeypatch.setattr(nearpairs, "COUNT_TABLE_ROWS", most)
+        found.append({tuple(r) for r in nearpairs.all_pairs(*nearpairs.links(df, "id", ["a", "b"]), "id").collect()})
+    assert found[0] == found[1] and {(5000 + 2 * i, 5001 + 2 * i) for i in range(20)} <= found[1]

@@ -31,10 +31,11 @@ def normalize_whitespace(column: Column) -> Column:
 
 def normalize_punctuation(column: Column) -> Column:
     """Typographic and East Asian punctuation becomes its ASCII form."""
-    pairs = lexicons.PUNCTUATION
-    out = F.translate(column, pairs[::2], pairs[1::2])
-    for mark, plain in lexicons.PUNCTUATION_LONG.items():
-        out = F.replace(out, F.lit(mark), F.lit(plain))
+    short = {mark: plain for mark, plain in lexicons.PUNCTUATION.items() if len(plain) == 1}
+    out = F.translate(column, "".join(short), "".join(short.values()))
+    for mark, plain in lexicons.PUNCTUATION.items():
+        if len(plain) > 1:
+            out = F.replace(out, F.lit(mark), F.lit(plain))
     return out
 
 

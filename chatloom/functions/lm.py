@@ -13,7 +13,6 @@ from chatloom.functions import lexicons
 
 _DIGIT = re.compile(r"\d")
 _UNSEEN = re.compile("[\x00-\x1f\x7f-\x9f]")
-_PUNCTUATION = dict(zip(lexicons.PUNCTUATION[::2], lexicons.PUNCTUATION[1::2], strict=True)) | lexicons.PUNCTUATION_LONG
 
 
 def normalize(text: str, lower: bool = True, accents: bool = True, numbers: bool = True, punctuation: int = 1) -> str:
@@ -27,7 +26,7 @@ def normalize(text: str, lower: bool = True, accents: bool = True, numbers: bool
     if numbers:
         text = _DIGIT.sub("0", text)
     if punctuation:
-        text = text.translate(str.maketrans(_PUNCTUATION if punctuation == 1 else dict.fromkeys(_PUNCTUATION, "")))
+        text = text.translate(str.maketrans(lexicons.PUNCTUATION if punctuation == 1 else dict.fromkeys(lexicons.PUNCTUATION, "")))
     return _UNSEEN.sub("", text)
 
 

@@ -247,8 +247,8 @@ def oracle_sql() -> dict[str, str]:
     hits = f"CAST(list_sum(list_transform({_list(lexicons.EXPLICIT)}, lambda w: (length(lower(text)) - length(replace(lower(text), w, ''))) // length(w))) AS BIGINT)"
     spaces, marks = lexicons.SPACES, lexicons.PUNCTUATION
     chars = lambda s: "concat(" + ", ".join(f"chr({ord(c)})" for c in s) + ")"
-    punctuation = f"translate(text, {chars(marks[::2])}, {chars(marks[1::2])})"
-    for mark, plain in lexicons.PUNCTUATION_LONG.items():
+    punctuation = "text"
+    for mark, plain in marks.items():
         punctuation = f"replace({punctuation}, {_text(mark)}, {_text(plain)})"
     turns = "FROM (SELECT record_id, source, conversation, unnest(range(len(conversation))) AS turn FROM chat_record) WHERE conversation[turn + 1].do_train"
     instruction = f"CASE WHEN turn > 0 THEN {strip('conversation[turn].content')} ELSE '' END"

@@ -36,13 +36,6 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.lower(text), F.lit(WORD)).cast("bigint")
 
 
-def occurrences(text: Column, needle: Column) -> Column:
-    """How often ``needle`` (not empty) occurs in ``text`` without overlap."""
-    gone = F.length(text) - F.length(F.replace(text, needle, F.lit("")))
-    # most needles occur nowhere, and the test for that is cheap
-    return F.when(F.contains(text, needle), (gone / F.length(needle)).cast("bigint")).when(text.isNotNull(), F.lit(0).cast("bigint"))
-
-
 def split_exactly_two(text: Column, token: str) -> tuple[Column, Column]:
     """The two sides of ``token``; an error at run time where the token doesn't occur exactly once. Nulls stay null."""
     parts = F.split(text, r"\Q" + token + r"\E", -1)

@@ -43,7 +43,8 @@ def _p2_report(spark: SparkSession, d: str) -> DataFrame:
 def _p3_scored(spark: SparkSession, d: str) -> DataFrame:
     from chatloom.llm import abuse
 
-    model = abuse.train(abuse.labelled_rows(table(spark, d, "abuse_label"), "text", "is_abusive"))
+    labelled = abuse.labelled_rows(table(spark, d, "abuse_label"), "text", "is_abusive")
+    model = abuse.train(labelled, abuse.background_rows(table(spark, d, "documents"), "text"))
     return abuse.score(table(spark, d, "dataset").select("pair_id", "source", "response"), "response", model).drop("response")
 
 
@@ -56,9 +57,10 @@ def _p3_score(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _p3_rates(spark: SparkSession, d: str) -> DataFrame:
-    from chatloom.llm import abuse
+    from chatloom.llm import abuse, mixing
 
-    return abuse.rates(_p3_scored(spark, d).groupBy("pair_id").agg(F.min("source").alias("source"), F.max("abusive").alias("abusive")), "source")
+    scored = _p3_scored(spark, d).withColumn("source", mixing.source_name(F.col("source")))
+    return abuse.rates(scored.groupBy("pair_id").agg(F.min("source").alias("source"), F.max("abusive").alias("abusive")), "source")
 
 
 def _p4_restored(spark: SparkSession, d: str) -> DataFrame:

@@ -4,10 +4,11 @@ import random
 import re
 import unicodedata
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chatloom.llm import abuse, defects, lookalike, mojibake, repetition
+from chatloom.llm import abuse, defects, lookalike, mojibake, repetition, seeds
 
 LONG = "lorem ipsum dolor sit amet " * 20_000
 
@@ -140,7 +141,8 @@ def test_defects(spark):
 def test_abuse(spark):
     labels = [(f"You stupid cunt number {i}, shut up. The lamp is green.", 1) for i in range(6)] + [(f"The lamp number {i} is green and the road is long.", 0) for i in range(12)]
     labelled = spark.createDataFrame([*labels, (None, 1), ("x", None)], "text string, is_abusive int")
-    model = abuse.train(abuse.labelled_rows(labelled, "text", "is_abusive"))
+    ordinary = spark.createDataFrame([("Der Tisch und der Stuhl gehören zusammen. Das Fenster und die Tür gehören dem Nachbarn.",), (LONG,), (None,)], "text string")
+    model = abuse.train(abuse.labelled_rows(labelled, "text", "is_abusive"), abuse.background_rows(ordinary, "text"))
     bad = ["You stupid cunt!", "The road is long. You s t u p i d c.u.n.t number three, shut up. The lamp is green.", "Halt die Fresse, du dummes Arschloch aus Rom.", "Fuuuuck you, you w.h.o.r.e."]
     good = ["The lamp is green.", "The road is long and the lamp is green today.", "Die Küche und das Öl gehören zusammen.", "", None, "a", LONG]
     df = spark.createDataFrame([(i, t) for i, t in enumerate([*bad, *good, bad[0]])], "id int, t string").withColumn("score", F.lit("clash"))
@@ -159,16 +161,32 @@ def test_abuse_held_out(spark):
     if not os.path.exists(path):
         pytest.skip("no labelled table here")
     rows = [(r.text, r.is_abusive) for r in spark.read.parquet(path).orderBy("label_id").collect()]
-    weights, bias = abuse.train(rows[::2])
-    right = [(max(abuse.project(abuse.sentences(t), weights)) + bias > 0) == bool(y) for t, y in rows[1::2]]
-    assert sum(right) / len(right) > 0.93
+    ordinary = abuse.background_rows(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), "text")
+    weights, bias = abuse.train(rows[::2], ordinary)
+    right = [(max(abuse.project(abuse.sentences(t), weights)[0]) + bias > abuse.THRESHOLD) == bool(y) for t, y in rows[1::2]]
+    assert sum(right) / len(right) > 0.95
+
+
+def test_seeds_stand_in_no_scored_text(spark):
+    """No labelled sentence of four or more words is a sentence of the scored table."""
+    import os
+
+    path = "/root/testdata/sf0.1/dataset.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no table here")
+    known = {abuse.plain(s).strip(" .!?。！？") for s, _ in seeds.labelled_sentences()}
+    scored = {s.strip(" .!?。！？") for r in spark.read.parquet(path).select("response").collect() for s in abuse.sentences(r[0])}
+    assert not {s for s in known & scored if len(s.split()) >= 4}
 
 
 def test_kernel_is_collapsed_exactly():
     texts = ["shut up you fool", "the lamp is green", "you foolish lamp"]
     owner, feature, value = abuse.sparse_features(texts)
-    kernel = abuse.kernel_matrix(owner, feature, value, 3, step=64)
-    import numpy as np
-
+    kernel = abuse.landmark_kernel(owner, feature, value, 3, np.arange(3), step=64)
     weights = np.bincount(feature[owner == 0], value[owner == 0], 1 << abuse.BITS)
-    assert abuse.project(texts, weights) == pytest.approx(kernel[0], rel=1e-5)
+    assert abuse.project(texts, weights)[0] == pytest.approx(kernel[:, 0], rel=1e-5)
+    assert kernel == pytest.approx(kernel.T, rel=1e-5)
+    # a window's value is that of the window as a text of its own, and the best one is reported
+    long = ["the road to the harbour is long and wet, shut up you fool, and the night is as long as the road was"]
+    best, window = abuse.project(long, weights)
+    assert best == pytest.approx(abuse.project(window, weights)[0], rel=1e-5) and "shut up" in window[0]

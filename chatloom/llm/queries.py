@@ -83,7 +83,7 @@ def _p5_found(spark: SparkSession, d: str) -> DataFrame:
 def _p5_share(spark: SparkSession, d: str) -> DataFrame:
     from chatloom.llm import repetition
 
-    return repetition.repetition(table(spark, d, "dataset"), "pair_id", "response", "lang").drop("recurring_ref").distinct()
+    return repetition.repetition(table(spark, d, "dataset"), "pair_id", "response", "lang").drop("candidate").distinct()
 
 
 def _p6_found(spark: SparkSession, d: str) -> DataFrame:

@@ -1,27 +1,28 @@
 """Problem 5: repetition inside a single document.
 
-Every text gets two histograms: of its characters by class, and of its words by language-specific common word, other word
-and word of a recurring passage (four or more words that already began at an earlier word of the same text). The mean
-histograms of a language are its reference; the Jensen-Shannon distance of a text's word histogram from it measures how far
-the text is from ordinary use. Grouping bins never raises that distance, so a text whose share of recurring words is at
-least ``share`` lies at least ``floor_distance`` from its reference: texts below it are set aside without loss, and the
-exact share decides on the rest. Texts of fewer than ``MIN_WORDS`` words can't repeat a passage and have share 0.
-
-A word is a maximal run of letters and digits, in lower case. Null, empty and blank texts: 0 words, share 0. Repeated rows
-stay repeated; an empty table gives no rows.
+Every text gets two histograms: of its characters by class, and of its words by common word of its language or other word,
+each where it stands beside its predecessor for the first time and where it does so again. The histograms of a language
+summed over the whole corpus are its reference. A text's Jensen-Shannon distance from it tells how far the text is from
+ordinary use: texts in which at least ``share`` of the words recur lie at least ``floor_distance`` away, so the distance chooses
+the candidates, without loss, and recurring passages are sought in these only. Texts of fewer than ``MIN_WORDS`` words can't
+repeat a passage and have share 0. The distance of the character classes is reported beside that of the words.
+
+A word is a maximal run of letters and digits, in lower case. Null, empty and blank texts: 0 words, share 0, distance 0. Unknown
+and null languages share one reference. Repeated rows stay repeated; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.session import spread, stage
+from chatloom.session import spread
 
 PASSAGE = 4
 MIN_WORDS = PASSAGE + 1
@@ -41,8 +42,10 @@ CLASSES = ("lower", "upper", "letter", "digit", "space", "mark", "line", "rest")
 _WORD = re.compile(r"[^\W_]+")
 _SETS = {lang: {w: i for i, w in enumerate(words.split())} for lang, words in COMMON.items()}
 _WIDTH = max(len(w) for w in _SETS.values())
-#: Word bins: each common word, other words, then words of recurring passages.
-WORD_BINS = _WIDTH + 2
+#: Word bins: each common word and other words, beside their predecessor for the first time; then the same again.
+WORD_BINS = 2 * (_WIDTH + 1)
+#: Of the words of recurring passages at least so many come again beside their predecessor: all but the first of four.
+PAIRED = (PASSAGE - 1) / PASSAGE
 
 
 def _char_table() -> np.ndarray:
@@ -75,89 +78,114 @@ def repeated_share(text: str | None) -> float:
     return 0.0 if found is None else float(found.mean())
 
 
-def histograms(df: DataFrame, key: str, text: str, lang: str) -> DataFrame:
-    """Staged (``key``, lang, words, repeated, chars array, bins array) of every row; unknown languages are 'other'."""
-    names = ["key", "lang", "words", "repeated", "chars", "bins"]
+def word_bins(words: list[str], lang: str) -> np.ndarray:
+    """A text's words by bin: common words of the language and others, each where the word beside its predecessor comes for
+    the first time, and again."""
+    known = _SETS.get(lang, {})
+    pairs = list(zip([None, *words], words, strict=False))
+    spots = np.fromiter((known.get(w, _WIDTH) for w in words), np.int64, len(words))
+    if len(set(pairs)) < len(pairs):
+        seen: set[tuple[str | None, str]] = set()
+        for i, pair in enumerate(pairs):
+            if pair in seen:
+                spots[i] += _WIDTH + 1
+            else:
+                seen.add(pair)
+    return np.bincount(spots, minlength=WORD_BINS)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _char_table()
-        for batch in batches:
-            langs = [x if x in COMMON else OTHER for x in batch.column(1).to_pylist()]
-            n, repeated, chars, bins = [], [], [], []
-            for value, own in zip(batch.column(2).to_pylist(), langs, strict=True):
-                value = value or ""
-                words = _WORD.findall(value.lower())
-                codes = np.frombuffer(value.encode("utf-32-le", "replace"), np.uint32)
-                low = table[np.minimum(codes, 0x24F)]
-                low[codes > 0x24F] = CLASSES.index("letter")
-                chars.append(np.bincount(low, minlength=len(CLASSES)))
-                found = recurring(words) if len(words) >= MIN_WORDS else None
-                known = _SETS.get(own, {})
-                spots = np.fromiter((known.get(w, _WIDTH) for w in words), np.int64, len(words))
-                if found is not None:
-                    spots[found] = _WIDTH + 1
-                bins.append(np.bincount(spots, minlength=WORD_BINS))
-                n.append(len(words))
-                repeated.append(0 if found is None else int(found.sum()))
-            lists = pa.list_(pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(n, pa.int32()), pa.array(repeated, pa.int32()), pa.array(chars, lists), pa.array(bins, lists)], names=names)
 
-    kind = df.schema[key].dataType.simpleString()
-    schema = f"key {kind}, lang string, words int, repeated int, chars array<int>, bins array<int>"
-    return stage(spread(df.select(key, lang, text)).mapInArrow(run, schema), "histograms").withColumnRenamed("key", key)
+def char_bins(text: str, table: np.ndarray) -> np.ndarray:
+    """A text's characters by class."""
+    codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+    low = table[np.minimum(codes, 0x24F)]
+    low[codes > 0x24F] = CLASSES.index("letter")
+    return np.bincount(low, minlength=len(CLASSES))
 
 
-def references(found: DataFrame) -> DataFrame:
-    """(lang, char_ref, word_ref): the mean histograms of each language; at most one row per known language and 'other'."""
-    sums = [F.sum(F.col("chars")[i]).alias(f"c{i}") for i in range(len(CLASSES))] + [F.sum(F.col("bins")[i]).alias(f"w{i}") for i in range(WORD_BINS)]
+def references(df: DataFrame, text: str, lang: str) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """(shares of character classes, shares of word bins) of each language and OTHER over the whole corpus; summed per batch
+    before the shuffle. At most one row per known language reaches the driver."""
 
-    def normed(names: list[str]) -> Column:
-        total = F.greatest(sum((F.col(c) for c in names[1:]), F.col(names[0])), F.lit(1))
-        return F.array(*[F.col(c) / total for c in names])
-
-    summed = found.groupBy("lang").agg(*sums)
-    return summed.select("lang", normed([f"c{i}" for i in range(len(CLASSES))]).alias("char_ref"), normed([f"w{i}" for i in range(WORD_BINS)]).alias("word_ref"))
-
-
-def js_distance(counts: Column, reference: Column) -> Column:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _char_table()
+        for batch in batches:
+            sums: dict[str, np.ndarray] = {}
+            for own, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                own, value = own if own in COMMON else OTHER, value or ""
+                both = np.concatenate([char_bins(value, table), word_bins(_WORD.findall(value.lower()), own)])
+                sums[own] = sums.get(own, 0) + both
+            flat = [(own, i, int(n)) for own, both in sums.items() for i, n in enumerate(both) if n]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in flat], t) for k, t in enumerate((pa.string(), pa.int32(), pa.int64()))], names=["lang", "bin", "n"])
+
+    rows = spread(df.select(lang, text)).mapInArrow(run, "lang string, bin int, n bigint").groupBy("lang", "bin").agg(F.sum("n").alias("n")).collect()
+    out: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    for own in {r["lang"] for r in rows} | {OTHER}:
+        both = np.zeros(len(CLASSES) + WORD_BINS)
+        for r in rows:
+            if r["lang"] == own:
+                both[r["bin"]] = r["n"]
+        parts = both[: len(CLASSES)], both[len(CLASSES) :]
+        out[own] = tuple(p / max(1.0, p.sum()) for p in parts)
+    return out
+
+
+def js_distance(counts: np.ndarray, reference: np.ndarray) -> float:
     """The Jensen-Shannon distance (base 2, 0 to 1) of a histogram of counts from a reference of shares; 0 for no counts."""
-    total = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
+    total = counts.sum()
+    if not total:
+        return 0.0
+    p, middle = counts / total, (counts / total + reference) / 2
+    parts = sum(float((x[x > 0] * np.log2(x[x > 0] / middle[x > 0])).sum()) for x in (p, reference))
+    return math.sqrt(max(0.0, parts / 2))
 
-    def part(p: Column, q: Column) -> Column:
-        return F.when(p > 0, p * F.log2(p / ((p + q) / 2))).otherwise(0.0)
 
-    terms = F.zip_with(counts, reference, lambda c, q: part(c / total, q) + part(q, c / total))
-    divergence = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) / 2
-    return F.when(total > 0, F.sqrt(F.greatest(divergence, F.lit(0.0)))).otherwise(0.0)
+def floor_distance(share: float, reference: np.ndarray) -> float:
+    """The least distance from a reference of word bins of a text of whose words at least ``share`` come again in their bins.
 
+    Merging bins never raises the distance, so it is at least that of the two bins 'first' and 'again'; where the reference's
+    own share of words that come again is as great, nothing follows.
+    """
+    again = float(reference[_WIDTH + 1 :].sum())
+    if again >= share:
+        return 0.0
+    return js_distance(np.array([1 - share, share]), np.array([1 - again, again]))
 
-def floor_distance(share: Column, reference: Column) -> Column:
-    """The least distance of a text with ``share`` or more recurring words from a reference with share ``reference``."""
-    def part(p: Column, q: Column) -> Column:
-        return F.when(p > 0, p * F.log2(p / ((p + q) / 2))).otherwise(0.0)
 
-    divergence = sum((part(p, q) + part(q, p) for p, q in ((share, reference), (1 - share, 1 - reference))), F.lit(0.0)) / 2
-    return F.when(reference < share, F.sqrt(F.greatest(divergence, F.lit(0.0)))).otherwise(0.0)
+def repetition(df: DataFrame, key: str, text: str, lang: str, share: float = 0.0) -> DataFrame:
+    """(``key``, words, repeated, share, char_distance, word_distance, candidate) of every row.
 
+    A text is a candidate where its word histogram lies as far from its language's reference, and holds as many words that come
+    again, as that of a text with ``share`` must. Recurring passages are sought in candidates only; others have less than ``share``
+    for certain, and their share is given as 0.
+    """
+    known = references(df, text, lang)
+    floors = {own: floor_distance(PAIRED * share, words) for own, (_, words) in known.items()}
+    names = [key, "words", "repeated", "share", "char_distance", "word_distance", "candidate"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _char_table()
+        for batch in batches:
+            out: list[list] = [[] for _ in names[1:]]
+            for own, value in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                own, value = own if own in COMMON else OTHER, value or ""
+                words = _WORD.findall(value.lower())
+                chars, bins = char_bins(value, table), word_bins(words, own)
+                char_reference, word_reference = known.get(own, known[OTHER])
+                far = js_distance(bins, word_reference)
+                # far enough from ordinary use, in the direction of repetition
+                candidate = len(words) >= MIN_WORDS and far >= floors.get(own, floors[OTHER]) - 1e-9 and bins[_WIDTH + 1 :].sum() >= max(PAIRED * share * len(words) - 1e-9, PASSAGE - 1)
+                found = recurring(words) if candidate else None
+                repeated = 0 if found is None else int(found.sum())
+                for column, item in zip(out, (len(words), repeated, repeated / max(1, len(words)), js_distance(chars, char_reference), far, candidate), strict=True):
+                    column.append(item)
+            kinds = (pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(out, kinds, strict=True)]], names=names)
 
-def repetition(df: DataFrame, key: str, text: str, lang: str) -> DataFrame:
-    """(``key``, words, repeated, share, char_distance, word_distance, recurring_ref) of every row."""
-    found = histograms(df, key, text, lang)
-    # at most nine rows, of fixed width
-    joined = found.join(F.broadcast(references(found)), "lang")
-    return joined.select(
-        key,
-        "words",
-        "repeated",
-        (F.col("repeated") / F.greatest("words", F.lit(1))).alias("share"),
-        js_distance(F.col("chars"), F.col("char_ref")).alias("char_distance"),
-        js_distance(F.col("bins"), F.col("word_ref")).alias("word_distance"),
-        F.col("word_ref")[WORD_BINS - 1].alias("recurring_ref"),
-    )
+    kind = df.schema[key].dataType.simpleString()
+    schema = f"`{key}` {kind}, words int, repeated int, share double, char_distance double, word_distance double, candidate boolean"
+    return spread(df.select(key, lang, text)).mapInArrow(run, schema)
 
 
 def repetitive(df: DataFrame, key: str, text: str, lang: str, share: float = 0.3) -> DataFrame:
     """The distinct ``key`` of the texts of which at least ``share`` of the words stand in recurring passages."""
-    scored = repetition(df, key, text, lang).where(F.col("words") >= MIN_WORDS)
-    near = F.col("word_distance") >= floor_distance(F.lit(share), F.col("recurring_ref")) - 1e-9
-    return scored.where(near & (F.col("share") >= share)).select(key).distinct()
+    return repetition(df, key, text, lang, share).where("candidate").where(F.col("share") >= share).select(key).distinct()

@@ -111,11 +111,25 @@ def test_repetition(spark):
     assert repetition.repetitive(df.limit(0), "id", "t", "lang").count() == 0
 
 
-def test_distance_floor(spark):
-    df = spark.createDataFrame([([7, 3], [0.9, 0.1]), ([0, 0], [0.5, 0.5]), ([5, 5], [0.5, 0.5])], "c array<int>, r array<double>")
-    values = [r[0] for r in df.select(repetition.js_distance(F.col("c"), F.col("r"))).collect()]
-    floor = df.select(repetition.floor_distance(F.lit(0.3), F.lit(0.1))).first()[0]
-    assert values[0] == pytest.approx(floor) and values[1] == 0 and values[2] == pytest.approx(0)
+def test_distance_floor():
+    reference = np.zeros(repetition.WORD_BINS)
+    reference[0], reference[-1] = 0.9, 0.1
+    counts = np.zeros(repetition.WORD_BINS)
+    counts[0], counts[-1] = 7, 3
+    assert repetition.js_distance(counts, reference) == pytest.approx(repetition.floor_distance(0.3, reference))
+    assert repetition.js_distance(counts * 0, reference) == 0 and repetition.js_distance(reference * 10, reference) == pytest.approx(0, abs=1e-6)
+
+
+def test_distance_chooses_candidates(spark):
+    """Ordinary texts are set aside by their distance, before any passage is sought; repetitive ones never are."""
+    rng = random.Random(3)
+    plain = [" ".join(rng.choice("the of lamp road river stone green small old walks sees takes".split()) + str(rng.randrange(9)) for _ in range(60)) for _ in range(60)]
+    again = [t + " " + " ".join(t.split()[5:40]) for t in plain[:20]]
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(plain + again)], "id int, t string, lang string")
+    rows = {r.id: r for r in repetition.repetition(df, "id", "t", "lang", 0.3).collect()}
+    assert all(rows[60 + i].candidate and rows[60 + i].share >= 0.3 for i in range(20))
+    assert sum(rows[i].candidate for i in range(60)) < 10
+    assert min(rows[60 + i].word_distance for i in range(20)) > max(rows[i].word_distance for i in range(60)) - 0.2
 
 
 # 6. defects

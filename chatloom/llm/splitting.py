@@ -22,9 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.llm import tokens as T
-from chatloom.session import spread
+from chatloom.session import stage
 
 LIMIT, OVERLAP = 1024, 64
+#: Of boundaries inside sentences one is considered in each stretch of the limit by so many tokens.
+STRETCHES = 64
 #: Penalties of a cut before a word, by the kind of boundary.
 PARAGRAPH, LINE, SENTENCE, CLAUSE, WORD, INSIDE = 0.0, 1.0, 2.0, 5.0, 10.0, 50.0
 PIECES_SCHEMA = "piece int, first_char bigint, last_char bigint, tokens bigint, text string"
@@ -90,7 +92,7 @@ def _whole(data: bytes) -> bool:
     return True
 
 
-def cuts(counts: np.ndarray, penalty: np.ndarray, limit: int, overlap: int) -> list[tuple[int, int]]:
+def cuts(counts: np.ndarray, penalty: np.ndarray, limit: int, overlap: int, stretch: int | None = None) -> list[tuple[int, int]]:
     """(first word, word after the last) of each piece, by dynamic programming over the words' boundaries.
 
     A piece that ends before word j and whose own part begins with word i starts at ``reach[i]``, the word its overlap
@@ -112,7 +114,7 @@ def cuts(counts: np.ndarray, penalty: np.ndarray, limit: int, overlap: int) -> l
     best = np.full(n + 1, np.inf)
     best[0] = 0.0
     came = np.zeros(n + 1, np.int64)
-    stops = _stops(at, penalty, limit)
+    stops = _stops(at, penalty, max(1, limit // STRETCHES) if stretch is None else stretch)
     starts = np.concatenate([[0], stops])  # positions a piece may begin its own part at; the first `known` have a cost
     begins, costs, known = begin[np.minimum(starts, n - 1)], np.full(len(starts), np.inf), 1
     costs[0] = 0.0
@@ -133,13 +135,17 @@ def cuts(counts: np.ndarray, penalty: np.ndarray, limit: int, overlap: int) -> l
     return pieces[::-1]
 
 
-def _stops(at: np.ndarray, penalty: np.ndarray, limit: int) -> np.ndarray:
-    """Positions to consider: of the boundaries in each stretch of limit / 64 tokens the most natural one, and the end."""
+def _stops(at: np.ndarray, penalty: np.ndarray, stretch: int) -> np.ndarray:
+    """Positions to consider, and the end: all boundaries of sentences, lines and paragraphs, and of the others the most natural
+    one in each ``stretch`` tokens; with a stretch of 0 all of them."""
     n = len(penalty)
-    stretch = at[1:n] // max(1, limit // 64)
-    order = np.lexsort((penalty[1:n], stretch))
-    first = np.concatenate([[True], np.diff(stretch[order]) > 0]) if n > 1 else np.zeros(0, bool)
-    return np.concatenate([np.sort(order[first] + 1), [n]]).astype(np.int64)
+    if not stretch:
+        return np.arange(1, n + 1)
+    part = at[1:n] // stretch
+    order = np.lexsort((penalty[1:n], part))
+    first = np.concatenate([[True], np.diff(part[order]) > 0]) if n > 1 else np.zeros(0, bool)
+    natural = np.flatnonzero(penalty[1:n] <= SENTENCE) + 1
+    return np.concatenate([np.union1d(order[first] + 1, natural), [n]]).astype(np.int64)
 
 
 def pieces_of(words: list[str], counts: np.ndarray, lead: np.ndarray, last: np.ndarray, bpe, limit: int, overlap: int) -> list[tuple[int, int, int, str]]:
@@ -156,32 +162,33 @@ def split(df: DataFrame, key: str, text: str, limit: int = LIMIT, overlap: int =
     ``first_char`` counts from 0, ``last_char`` is exclusive, both in code points.
     """
     folder = folder or T.tokenizer_dir()
-    vocabulary = T.word_table(df, text, name, folder)
-    path = T.small_enough(vocabulary, word_table_bytes)
+    path, rare = T.frequent_and_rare(T.word_table(df, text, name, folder), word_table_bytes)
+    kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = T.load_vocabulary(path) if path else None
+        known = T.load_vocabulary(path)
         bpe = T.encoding(folder, name)
-        if known and not hasattr(known, "marks"):
+        if not hasattr(known, "marks"):
             known.marks = marks(known.words.to_pylist())
         for batch in batches:
-            spans = batch.column(1)
+            spans, fills = batch.column(2), batch.column(3).to_pylist()
             flat = spans.flatten()
-            if known:
-                index, by_word, (lead, last) = known.index(flat), known.counts, known.marks
-            else:
-                distinct = flat.dictionary_encode()
-                index, own = distinct.indices.to_numpy(), distinct.dictionary.to_pylist()
-                by_word, (lead, last) = np.array([len(bpe.encode_ordinary(w)) for w in own], np.int64), marks(own)
-            counts = by_word[index]
+            index = known.index(flat)
+            missing = index < 0
+            counts = np.where(missing, 0, known.counts[np.where(missing, 0, index)]) if len(known.counts) else np.zeros(len(index), np.int64)
             ends = np.cumsum(pc.list_value_length(spans).to_numpy(zero_copy_only=False).astype(np.int64))
             begins = np.concatenate([[0], ends[:-1]])
+            counts[missing] = [n for fill in fills for n in fill or ()]
             sums = np.concatenate([[0], np.cumsum(counts)])
             source, out = [], []
             for row in np.flatnonzero(sums[ends] - sums[begins] > limit):
                 low, high = int(begins[row]), int(ends[row])
-                own = index[low:high]
-                for k, piece in enumerate(pieces_of(flat.slice(low, high - low).to_pylist(), counts[low:high], lead[own], last[own], bpe, limit, overlap)):
+                own, words = index[low:high], flat.slice(low, high - low).to_pylist()
+                if fills[row]:
+                    lead, last = marks(words)
+                else:
+                    lead, last = (m[own] for m in known.marks)
+                for k, piece in enumerate(pieces_of(words, counts[low:high], lead, last, bpe, limit, overlap)):
                     source.append(int(row))
                     out.append((k, *piece))
             columns = list(zip(*out, strict=True)) or [[]] * 5
@@ -189,5 +196,22 @@ def split(df: DataFrame, key: str, text: str, limit: int = LIMIT, overlap: int =
             arrays = [batch.column(0).take(pa.array(source, pa.int32())), *[pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]]
             yield pa.RecordBatch.from_arrays(arrays, names=[key, "piece", "first_char", "last_char", "tokens", "text"])
 
-    kind = df.schema[key].dataType.simpleString()
-    return spread(df.select(key, text)).select(key, T.words(F.col(text)).alias("words")).mapInArrow(run, f"`{key}` {kind}, {PIECES_SCHEMA}")
+    rows = T.with_digest(df, key, text)
+    if rare is None:
+        rows = rows.withColumn("fill", F.lit(None).cast("array<int>"))
+    else:
+        # a rare word has at most as many tokens as bytes; only texts that may pass the limit are moved
+        def gaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = T.load_vocabulary(path)
+            for batch in batches:
+                for found in T._counted(batch, known, key):
+                    missing = found.column(3)
+                    sizes = pc.binary_length(missing.flatten()).to_numpy(zero_copy_only=False).astype(np.int64)
+                    ends = np.cumsum(pc.list_value_length(missing).to_numpy(zero_copy_only=False).astype(np.int64))
+                    sums = np.concatenate([[0], np.cumsum(sizes)])
+                    kept = pa.array(found.column(2).to_numpy() + np.diff(sums[np.concatenate([[0], ends])]) > limit)
+                    yield pa.RecordBatch.from_arrays([c.filter(kept) for c in (batch.column(0), batch.column(1), batch.column(2), missing)], names=[key, "digest", "words", "gaps"])
+
+        partial = stage(rows.mapInArrow(gaps, f"`{key}` {kind}, digest string, words array<string>, gaps array<string>"), "partial")
+        rows = partial.join(T.fetched(partial, rare, F.size("ids"), "fill"), "digest", "left").select(key, "digest", "words", "fill")
+    return rows.mapInArrow(run, f"`{key}` {kind}, {PIECES_SCHEMA}")

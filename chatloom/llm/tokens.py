@@ -1,9 +1,10 @@
 """Problem 8: encoding of a whole corpus with a public byte-level BPE tokenizer.
 
-Texts are split into words in the JVM at white space, every distinct word is encoded once, and the ids are
-joined back by position. The distinct-word table is written to the shared folder and measured: below
-``word_table_bytes`` its words are looked up in Arrow batches by all tasks, beyond it they are joined by a shuffle on the
-word. Decoding joins ids with the id-to-piece table.
+Texts are split into words in the JVM at white space, every distinct word is encoded once, and the ids are joined back by
+position. The plan is the same for any vocabulary: the frequent words, as many as fit ``word_table_bytes``, are looked up in
+Arrow batches by all tasks and leave gaps at the rare ones, and the rare words' ids are fetched by a join on the word and put
+into the gaps by position; where all words are frequent, no text has a gap and nothing is joined. Decoding joins ids with the
+id-to-piece table.
 
 Null, empty: an empty list of ids, 0 tokens. Blank, very long and unbroken texts are ordinary texts; strings that look
 like special tokens are ordinary text. Repeated rows stay repeated.
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from chatloom.session import spread, stage
 
 TOKENIZER = "byte_bpe_50k"
-#: Most bytes of words in a distinct-word table that is looked up from memory; a larger one is joined by a shuffle.
+#: Most bytes of the frequent words and their ids that tasks hold in memory.
 WORD_TABLE_BYTES = 48 << 20
 # White space of the tokenizer's pattern beyond Java's \s.
 BLANKS = r"\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
@@ -62,9 +63,9 @@ def words(text: Column) -> Column:
 
 
 def word_table(df: DataFrame, text: str, name: str = TOKENIZER, folder: str | None = None) -> DataFrame:
-    """The staged table (word, ids) of every distinct word of a corpus, each encoded once.
+    """The staged table (word, n, ids) of every distinct word of a corpus and how often it occurs, each encoded once.
 
-    Distinct words are reduced before the shuffle, so a word that all texts share arrives once per task.
+    Words are counted per task before the shuffle, so a word that all texts share arrives once per task.
     """
     folder = folder or tokenizer_dir()
 
@@ -72,10 +73,10 @@ def word_table(df: DataFrame, text: str, name: str = TOKENIZER, folder: str | No
         bpe = encoding(folder, name)
         for batch in batches:
             ids = [bpe.encode_ordinary(w) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["word", "ids"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], names=["word", "n", "ids"])
 
-    distinct = spread(df.select(text)).select(F.explode(words(F.col(text))).alias("word")).distinct()
-    return stage(distinct.mapInArrow(encode, "word string, ids array<int>"), "words")
+    counted = spread(df.select(text)).select(F.explode(words(F.col(text))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return stage(counted.mapInArrow(encode, "word string, n bigint, ids array<int>"), "words")
 
 
 class Vocabulary:
@@ -91,7 +92,8 @@ class Vocabulary:
         self.starts = np.concatenate([[0], np.cumsum(self.counts)[:-1]]).astype(np.int64) if len(self.counts) else np.zeros(0, np.int64)
 
     def index(self, words: pa.Array) -> np.ndarray:
-        return pc.index_in(words, value_set=self.words).to_numpy(zero_copy_only=False).astype(np.int64)
+        """Where each word is; -1 for a word that isn't in the table."""
+        return pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
 
     def gather(self, index: np.ndarray) -> np.ndarray:
         """The ids of the words at ``index``, one after the other."""
@@ -115,72 +117,112 @@ def load_vocabulary(path: str) -> Vocabulary:
     return _LOADED[path]
 
 
-def small_enough(vocabulary: DataFrame, most: int) -> str | None:
-    """The path of a staged word table whose words and ids take at most ``most`` bytes, else None."""
-    size = vocabulary.agg(F.sum(F.octet_length("word") + 8 + 4 * F.size("ids"))).first()[0] or 0
-    files = vocabulary.inputFiles()
-    if size > most or not files:
-        return None
-    path = files[0].rsplit("/", 1)[0]
+def frequent_and_rare(vocabulary: DataFrame, most: int) -> tuple[str, DataFrame | None]:
+    """(path of the table of the frequent words, the rare words as a table, None where there are none).
+
+    Frequent are the words of at least 2^k occurrences, k being the least for which they take at most ``most`` bytes: tasks hold
+    these in memory at any size of the collection. A rare word has few occurrences by definition, so the join that fetches the
+    others' ids knows no hot key.
+    """
+    size = F.sum(F.octet_length("word") + 8 + 4 * F.size("ids"))
+    sizes = {r["k"]: r["bytes"] for r in vocabulary.groupBy(F.floor(F.log2("n")).alias("k")).agg(size.alias("bytes")).collect()}  # at most 63 rows
+    held, least = 0, max(sizes, default=-1) + 1
+    for k in sorted(sizes, reverse=True):
+        held += sizes[k]
+        if held > most:
+            break
+        least = k
+    whole = least <= min(sizes, default=0)
+    frequent = vocabulary if whole else stage(vocabulary.where(F.col("n") >= 2**least), "frequent")
+    path = shared_path(frequent)
+    return path, None if whole else vocabulary.where(F.col("n") < 2**least).select("word", "ids")
+
+
+def shared_path(staged: DataFrame) -> str:
+    """The folder of a staged table."""
+    path = staged._jdf.queryExecution().optimizedPlan().collectLeaves().head().relation().location().rootPaths().head().toString()
     return "file://" + path.removeprefix("file:") if path.startswith("file:/") and not path.startswith("file://") else path
 
 
+def with_digest(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(``key``, digest, words) of every row; the digest tells texts apart."""
+    return spread(df.select(key, text)).select(key, F.md5(F.coalesce(F.col(text), F.lit(""))).alias("digest"), words(F.col(text)).alias("words"))
+
+
+def fetched(partial: DataFrame, rare: DataFrame, value: Column, out: str) -> DataFrame:
+    """(digest, ``out``): for each text with rare words (column ``gaps``, in order) an array of ``value`` of each, joined by
+    position. Copies of a text are looked up once."""
+    each = partial.where(F.size("gaps") > 0).select("digest", "gaps").dropDuplicates(["digest"]).select("digest", F.posexplode("gaps").alias("at", "word"))
+    found = each.join(rare, "word").groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("at", value.alias("value")))).alias("found"))
+    return found.select("digest", F.transform("found", lambda x: x["value"]).alias(out))
+
+
 def encode(df: DataFrame, key: str, text: str, name: str = TOKENIZER, folder: str | None = None, word_table_bytes: int = WORD_TABLE_BYTES) -> DataFrame:
     """(``key``, ids) for every row of ``df``: the ids of ``text`` without special tokens."""
-    vocabulary = word_table(df, text, name, folder)
-    path = small_enough(vocabulary, word_table_bytes)
-    if path is None:
-        return encode_by_join(df, key, text, vocabulary)
+    path, rare = frequent_and_rare(word_table(df, text, name, folder), word_table_bytes)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = load_vocabulary(path)
         for batch in batches:
-            spans = batch.column(1)
-            counts = pc.list_value_length(spans).to_numpy(zero_copy_only=False).astype(np.int64)
-            index = known.index(spans.flatten())
-            sums = np.concatenate([[0], np.cumsum(known.counts[index])])
-            offsets = sums[np.concatenate([[0], np.cumsum(counts)])].astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(known.gather(index), pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=[key, "ids"])
+            spans = batch.column(2)
+            flat, ends = spans.flatten(), np.cumsum(pc.list_value_length(spans).to_numpy(zero_copy_only=False).astype(np.int64))
+            index = known.index(flat)
+            # ids of frequent words in stretches, a new one after each rare word
+            missing = np.flatnonzero(index < 0)
+            row = np.searchsorted(ends, missing, "right")
+            per_row = np.bincount(row, minlength=len(ends))
+            held = np.where(index < 0, 0, index)
+            counts = np.where(index < 0, 0, known.counts[held]) if len(known.counts) else np.zeros(len(index), np.int64)
+            sums = np.concatenate([[0], np.cumsum(counts)])
+            # a stretch ends at each rare word and at the end of each text
+            stops = np.sort(np.concatenate([missing, ends]), kind="stable")
+            offsets = np.concatenate([[0], sums[stops]]).astype(np.int32)
+            stretches = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(known.gather(index[index >= 0]), pa.int32()))
+            segments = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_row + 1)]).astype(np.int32)), stretches)
+            gaps = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_row)]).astype(np.int32)), flat.take(pa.array(missing)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), segments, gaps], names=[key, "digest", "segments", "gaps"])
 
     kind = df.schema[key].dataType.simpleString()
-    return spread(df.select(key, text)).select(key, words(F.col(text)).alias("words")).mapInArrow(look_up, f"`{key}` {kind}, ids array<int>")
+    partial = with_digest(df, key, text).mapInArrow(look_up, f"`{key}` {kind}, digest string, segments array<array<int>>, gaps array<string>")
+    if rare is None:  # no text has a gap
+        return partial.select(key, F.col("segments")[0].alias("ids"))
+    partial = stage(partial, "partial")
+    joined = partial.join(fetched(partial, rare, F.col("ids"), "filled"), "digest", "left")
+    filled = F.flatten(F.transform("filled", lambda ids, i: F.concat(ids, F.element_at("segments", i + 2))))
+    return joined.select(key, F.concat(F.col("segments")[0], F.coalesce(filled, F.array().cast("array<int>"))).alias("ids"))
 
 
 def sizes(df: DataFrame, key: str, text: str, name: str = TOKENIZER, folder: str | None = None, word_table_bytes: int = WORD_TABLE_BYTES) -> DataFrame:
     """(``key``, tokens) for every row of ``df``: how many ids ``text`` has."""
-    vocabulary = word_table(df, text, name, folder)
-    path = small_enough(vocabulary, word_table_bytes)
-    if path is None:
-        return encode_by_join(df, key, text, vocabulary).select(key, F.size("ids").cast("bigint").alias("tokens"))
+    path, rare = frequent_and_rare(word_table(df, text, name, folder), word_table_bytes)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = load_vocabulary(path)
         for batch in batches:
-            spans = batch.column(1)
-            ends = np.cumsum(pc.list_value_length(spans).to_numpy(zero_copy_only=False).astype(np.int64))
-            sums = np.concatenate([[0], np.cumsum(known.counts[known.index(spans.flatten())])])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(sums[np.concatenate([[0], ends])]))], names=[key, "tokens"])
+            yield from _counted(batch, known, key)
 
     kind = df.schema[key].dataType.simpleString()
-    return spread(df.select(key, text)).select(key, words(F.col(text)).alias("words")).mapInArrow(count, f"`{key}` {kind}, tokens bigint")
-
-
-def encode_by_join(df: DataFrame, key: str, text: str, vocabulary: DataFrame) -> DataFrame:
-    """The same by a shuffle on the word, for a distinct-word table of any size.
-
-    Works on distinct texts, so that copies of a text are split once; a text's words are gathered by its digest.
-    """
-    digest = F.md5(F.coalesce(F.col(text), F.lit("")))
-    texts = df.select(digest.alias("digest"), F.coalesce(F.col(text), F.lit("")).alias("text")).where("text <> ''").dropDuplicates(["digest"])
-    spread = texts.select("digest", F.posexplode(words(F.col("text"))).alias("pos", "word"))
-    joined = (
-        spread.join(vocabulary.hint("shuffle_hash"), "word")
-        .groupBy("digest")
-        .agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("pos", "ids"))), lambda x: x["ids"])).alias("ids"))
-    )
-    none = F.array().cast("array<int>")
-    return df.select(key, digest.alias("digest")).join(joined, "digest", "left").select(key, F.coalesce("ids", none).alias("ids"))
+    partial = with_digest(df, key, text).mapInArrow(count, f"`{key}` {kind}, digest string, tokens bigint, gaps array<string>")
+    if rare is None:
+        return partial.select(key, "tokens")
+    partial = stage(partial, "partial")
+    joined = partial.join(fetched(partial, rare, F.size("ids"), "sizes"), "digest", "left")
+    more = F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return joined.select(key, (F.col("tokens") + F.coalesce(more, F.lit(0))).alias("tokens"))
+
+
+def _counted(batch: pa.RecordBatch, known: Vocabulary, key: str) -> Iterator[pa.RecordBatch]:
+    """(``key``, digest, tokens of the frequent words, rare words in order) of each row of (``key``, digest, words)."""
+    spans = batch.column(2)
+    flat, ends = spans.flatten(), np.cumsum(pc.list_value_length(spans).to_numpy(zero_copy_only=False).astype(np.int64))
+    index = known.index(flat)
+    missing = np.flatnonzero(index < 0)
+    counts = np.where(index < 0, 0, known.counts[np.where(index < 0, 0, index)]) if len(known.counts) else np.zeros(len(index), np.int64)
+    sums = np.concatenate([[0], np.cumsum(counts)])
+    tokens = np.diff(sums[np.concatenate([[0], ends])])
+    per_row = np.bincount(np.searchsorted(ends, missing, "right"), minlength=len(ends))
+    gaps = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_row)]).astype(np.int32)), flat.take(pa.array(missing)))
+    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(tokens), gaps], names=[key, "digest", "tokens", "gaps"])
 
 
 def piece_table(spark: SparkSession, name: str = TOKENIZER, folder: str | None = None) -> DataFrame:

@@ -21,7 +21,12 @@ def test_encode(spark, odd):
     bpe = tokens.encoding(tokens.tokenizer_dir(), tokens.TOKENIZER)
     expected = {i: bpe.encode_ordinary(t or "") for i, t in enumerate([*ODD, ODD[5]])}
     assert {r.doc_id: r.ids for r in tokens.encode(odd, "doc_id", "text").collect()} == expected
-    assert {r.doc_id: r.ids for r in tokens.encode(odd, "doc_id", "text", word_table_bytes=0).collect()} == expected
+    # with no word, some words and all words held in memory
+    bounds = (0, 200, 2000)
+    for most in bounds:
+        assert {r.doc_id: r.ids for r in tokens.encode(odd, "doc_id", "text", word_table_bytes=most).collect()} == expected
+        assert {r.doc_id: r.tokens for r in tokens.sizes(odd, "doc_id", "text", word_table_bytes=most).collect()} == {i: len(x) for i, x in expected.items()}
+    assert {tokens.frequent_and_rare(tokens.word_table(odd, "text"), most)[1] is None for most in (*bounds, 1 << 30)} == {False, True}
     assert {r.doc_id: r.tokens for r in tokens.sizes(odd, "doc_id", "text").collect()} == {i: len(x) for i, x in expected.items()}
     decoded = {r.doc_id: r.text for r in tokens.decode(tokens.encode(odd, "doc_id", "text"), "doc_id", "ids").collect()}
     assert decoded == {i: t or "" for i, t in enumerate([*ODD, ODD[5]])}
@@ -88,6 +93,8 @@ def test_cut(spark, odd, limit, overlap):
             assert len(bpe.encode_ordinary(text[p.first_char : end])) <= overlap
             end = p.last_char
         assert end == len(text)
+    for most in (300, 3000):
+        assert splitting.split(odd, "doc_id", "text", limit, overlap, word_table_bytes=most).orderBy("doc_id", "piece").collect() == rows
     again = splitting.split(odd, "doc_id", "text", limit, overlap, word_table_bytes=0).orderBy("doc_id", "piece").collect()
     assert again == rows
 

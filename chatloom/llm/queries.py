@@ -15,7 +15,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 def _p1_found(spark: SparkSession, d: str) -> DataFrame:
     from chatloom.llm import lookalike
 
-    return lookalike.same_look_pairs(lookalike.messages(table(spark, d, "chat_record")), ["record_id", "turn"], "content")
+    return lookalike.same_look_pairs(lookalike.messages(table(spark, d, "chat_record"), once=False), ["record_id", "turn"], "content")
+
+
+def _p1_classes(spark: SparkSession, d: str) -> DataFrame:
+    """The same without pairs: the class of each such message and the number of its links."""
+    from chatloom.llm import lookalike
+
+    return lookalike.same_look_classes(lookalike.messages(table(spark, d, "chat_record"), once=False), ["record_id", "turn"], "content")
 
 
 def _p1_canonical(spark: SparkSession, d: str) -> DataFrame:
@@ -143,6 +150,7 @@ def _p10_pieces(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "p1_found": _p1_found,
+        "p1_classes": _p1_classes,
         "p1_canonical": _p1_canonical,
         "p2_mixture": _p2_mixture,
         "p2_report": _p2_report,

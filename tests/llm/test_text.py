@@ -3,6 +3,7 @@
 import random
 import re
 import unicodedata
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -15,6 +16,7 @@ LONG = "lorem ipsum dolor sit amet " * 20_000
 
 # 1. look-alikes
 SAME = ["The quick fox", "Τhе quick fox", "Ｔｈｅ　ｑｕｉｃｋ ｆｏｘ", "The qu​ick fo­x", "the quick fox"[:0] + "Thе quісk fох"]
+SAME += ["The quick fox\U000E0041", "Ꭲhe quick fox", "The q\U000E0101uick fox"]
 OTHER = ["the quick fox", "The quick fóx", "The quick fox.", "The quick fox ²", "The quick fox 2", "The quick fox ①", "TM", "™", "½", "1/2"]
 
 
@@ -47,6 +49,8 @@ def test_pairs_against_brute_force(spark):
     rows = [(i // 3, i % 3, vary(rng.choice(texts))) for i in range(60)] + [(99, 0, None), (0, 0, None)]
     df = spark.createDataFrame(rows, "record_id bigint, turn bigint, content string").distinct()
     found = {tuple(r) for r in lookalike.same_look_pairs(df, ["record_id", "turn"], "content").collect()}
+    links = Counter(key for a, b, c, e in found for key in ((a, b), (c, e)))
+    assert {(r.record_id, r.turn): r.links for r in lookalike.same_look_classes(df, ["record_id", "turn"], "content").collect()} == links
     table = str.maketrans({**one, **many})
     key = lambda t: unicodedata.normalize("NFC", t.translate(table))
     items = [r for r in rows if r[2] is not None]

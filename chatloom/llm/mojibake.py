@@ -36,6 +36,9 @@ SENSIBLE = 0.15
 DROP = 8.0
 #: Pairs below this share of all pairs have next to no discounted information and are not kept; bounds the table.
 LEAST_SHARE = 1e-6
+#: Exchanged Latin letters: the least number, the greatest part of their pairs' mean information that these have as they stand, and
+#: the least mean information when they are restored.
+LATIN_LETTERS, LATIN_UNKNOWN, LATIN_KNOWN = 3, 0.1, 0.1
 LOST = "�"
 # Encodings that UTF-8 bytes were read as, the likeliest first.
 ENCODINGS = ("cp1252", "latin-1", "cp1251", "cp437", "mac_roman", "cp1250", "cp850", "cp866", "koi8_r", "cp1254", "cp1257", "iso8859_2", "iso8859_15")
@@ -44,6 +47,8 @@ EXCHANGED = (
     ("cp1251", "koi8_r"), ("koi8_r", "cp1251"), ("cp1252", "cp1251"), ("cp1252", "koi8_r"), ("cp1252", "cp866"), ("cp866", "cp1251"),
     ("cp1251", "cp866"), ("cp866", "koi8_r"), ("koi8_r", "cp866"), ("mac_roman", "cp1251"), ("mac_cyrillic", "cp1251"), ("cp1251", "mac_cyrillic"),
 )
+# The same among encodings of Latin letters.
+EXCHANGED_LATIN = (("cp1252", "cp1250"), ("cp1252", "iso8859_2"), ("cp1250", "cp1252"), ("cp1252", "cp1257"), ("cp1252", "cp1254"))
 EXCHANGED_WIDE = (("cp1252", "euc_jp"), ("cp1252", "cp932"), ("mac_roman", "cp932"), ("cp437", "cp932"))
 # Ranges of characters that restored text plausibly holds.
 PLAUSIBLE = (
@@ -133,16 +138,61 @@ def _to_bytes(text: str, name: str) -> bytes | None:
     return bytes(out)
 
 
-def information(text: str, keys: np.ndarray, scores: np.ndarray) -> float:
-    """Mean discounted mutual information of the pairs of ``text`` that aren't pure ASCII."""
+class _Reread(dict):
+    """Characters of one single-byte encoding as another one has them, filled as they are met; '\0' where there is none."""
+
+    def __init__(self, name: str, true: str):
+        super().__init__()
+        self.name, self.true = name, true
+
+    def __missing__(self, code: int) -> str:
+        data = _to_bytes(chr(code), self.name)
+        try:
+            self[code] = data.decode(self.true) if data else "\0"
+        except UnicodeDecodeError:
+            self[code] = "\0"
+        return self[code]
+
+
+@lru_cache(64)
+def _reread(name: str, true: str) -> _Reread:
+    return _Reread(name, true)
+
+
+def information(text: str, keys: np.ndarray, scores: np.ndarray, at: np.ndarray | None = None) -> float:
+    """Mean discounted mutual information of the pairs of ``text`` that aren't ASCII on either side, or of those on either side of
+    the positions ``at``."""
     codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
-    pairs = (codes[:-1] << 21 | codes[1:])[(codes[:-1] > 127) & (codes[1:] > 127)]
+    pairs = codes[:-1] << 21 | codes[1:]
+    if at is None:
+        pairs = pairs[(codes[:-1] > 127) & (codes[1:] > 127)]
+    else:
+        beside = np.concatenate([at - 1, at])
+        pairs = pairs[np.unique(beside[(beside >= 0) & (beside < len(pairs))])]
     if not len(pairs) or not len(keys):
         return 0.0
     at = np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)
     return float(np.where(keys[at] == pairs, ORDINARY - scores[at], 0.0).mean())
 
 
+def exchanged_latin(runs: str, keys: np.ndarray, scores: np.ndarray) -> _Reread | None:
+    """How the improbable runs of one text read as they were written in another encoding of Latin letters: where the pairs beside
+    the letters that change are next to unknown as they stand and known then, else None."""
+    best, found = LATIN_KNOWN, None
+    for name, true in EXCHANGED_LATIN:
+        how = _reread(name, true)
+        text = runs.translate(how)
+        if "\0" in text or text == runs:
+            continue
+        at = np.array([i for i, (a, b) in enumerate(zip(runs, text, strict=True)) if a != b])
+        if len(at) < LATIN_LETTERS or not all(text[i].isalpha() for i in at):
+            continue
+        before, after = (information(x, keys, scores, at) for x in (runs, text))
+        if before <= LATIN_UNKNOWN * after and after > best:
+            best, found = after, how
+    return found
+
+
 def exchanged(run: str, keys: np.ndarray, scores: np.ndarray) -> str | None:
     """``run`` as it was written in another national encoding, where its pairs are then far more ordinary, else None."""
     wide = sum(not c.isascii() for c in run)
@@ -161,10 +211,8 @@ def exchanged(run: str, keys: np.ndarray, scores: np.ndarray) -> str | None:
                 return text
     before, best, found = information(run, keys, scores), 0.0, None
     for name, true in EXCHANGED:
-        data = _to_bytes(run, name)
-        try:
-            text = data.decode(true) if data else ""
-        except UnicodeDecodeError:
+        text = run.translate(_reread(name, true))
+        if "\0" in text:
             continue
         letters = len(_CYRILLIC.findall(text))
         if letters >= 4 and letters >= 0.9 * sum(not c.isascii() for c in text) and (after := information(text, keys, scores)) > best:
@@ -172,6 +220,19 @@ def exchanged(run: str, keys: np.ndarray, scores: np.ndarray) -> str | None:
     return found if best > SENSIBLE and best > 3 * before else None
 
 
+@lru_cache(50_000)
+def _restored(run: str, table: _Table) -> tuple[str, bool]:
+    """``restore`` of a run that was met before."""
+    return restore(run, table.keys, table.scores)
+
+
+class _Table:
+    """The pair scores of one corpus."""
+
+    def __init__(self, keys: np.ndarray, scores: np.ndarray):
+        self.keys, self.scores = keys, scores
+
+
 def restore(run: str, keys: np.ndarray, scores: np.ndarray) -> tuple[str, bool]:
     """``run`` with its garbled stretches restored, and whether it holds any."""
     found, wide = False, sum(not c.isascii() for c in run)
@@ -275,18 +336,19 @@ def segments(codes: np.ndarray, keys: np.ndarray, scores: np.ndarray) -> list[tu
 def garbled(df: DataFrame, text: str, out: str = "restored", flag: str = "garbled") -> DataFrame:
     """``df`` with ``flag`` (boolean) and ``out``: the text as it was written, as far as it can be told; null for null."""
     scores = pair_table(df, text)
-    rows = scores.collect()  # at most 1 / LEAST_SHARE rows of ordinary pairs
-    known = sorted((r["left"] << 21 | r["right"], r["score"]) for r in rows)
-    keys, values = np.array([k for k, _ in known], np.int64), np.array([v for _, v in known], np.float64)
+    rows = scores.toArrow()  # at most 1 / LEAST_SHARE rows of ordinary pairs
+    keys, values = rows.column("left").to_numpy() << 21 | rows.column("right").to_numpy(), rows.column("score").to_numpy()
+    order = np.argsort(keys)
+    keys, values = keys[order], values[order]
     shared = df.sparkSession.sparkContext.broadcast((keys, values))
 
     @F.pandas_udf(f"{flag} boolean, {out} string")
     def mend(texts):
         import pandas as pd
 
-        flags, restored = [], []
+        flags, restored, table = [], [], _table(shared.value)
         for value in texts:
-            hit, mended = (False, value) if value is None or value.isascii() else mend_text(value, *shared.value)
+            hit, mended = (False, value) if value is None or value.isascii() else mend_text(value, table)
             flags.append(hit)
             restored.append(mended)
         return pd.DataFrame({flag: flags, out: restored})
@@ -294,11 +356,21 @@ def garbled(df: DataFrame, text: str, out: str = "restored", flag: str = "garble
     return df.withColumn("__mended", mend(F.col(text))).withColumns({flag: F.col(f"__mended.{flag}"), out: F.col(f"__mended.{out}")}).drop("__mended")
 
 
-def mend_text(text: str, keys: np.ndarray, scores: np.ndarray) -> tuple[bool, str]:
+_TABLES: list[_Table] = []
+
+
+def _table(pair: tuple[np.ndarray, np.ndarray]) -> _Table:
+    """One table object for each broadcast, so that what is known of a run stays known in later batches."""
+    if not _TABLES or _TABLES[0].keys is not pair[0]:
+        _TABLES[:] = [_Table(*pair)]
+    return _TABLES[0]
+
+
+def mend_text(text: str, table: _Table) -> tuple[bool, str]:
     """Whether ``text`` holds a garbled run, and the text with those runs restored."""
     codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-    parts, at, found = [], 0, False
-    for first, last in segments(codes, keys, scores) if len(codes) > 1 else [(0, 0)]:
+    runs, at, found = [], 0, False
+    for first, last in segments(codes, table.keys, table.scores) if len(codes) > 1 else [(0, 0)]:
         # whole words: a run may begin or end inside one
         while first > at and not text[first - 1].isspace():
             first -= 1
@@ -306,7 +378,17 @@ def mend_text(text: str, keys: np.ndarray, scores: np.ndarray) -> tuple[bool, st
             last += 1
         if last < at:
             continue
-        run, hit = restore(text[max(first, at) : last + 1], keys, scores)
-        parts += [text[at : max(first, at)], run]
-        at, found = last + 1, found or hit
+        runs.append((max(first, at), last + 1))
+        at = last + 1
+    parts, at = [], 0
+    left = "\n".join(text[a:b] for a, b in runs)
+    # the information of a few letters is told from chance over all runs of the text together
+    how = None if sum("\x80" <= c <= "ƿ" for c in left) < LATIN_LETTERS else exchanged_latin(left, table.keys, table.scores)
+    for first, end in runs:
+        run, hit = _restored(text[first:end], table)
+        if not hit and how is not None:
+            run = run.translate(how)
+            hit = run != text[first:end]
+        parts += [text[at:first], run]
+        at, found = end, found or hit
     return found, "".join(parts) + text[at:]

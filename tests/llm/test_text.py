@@ -95,6 +95,13 @@ def test_exchanged_encodings(spark):
     assert hits == {len(clean): "Старый рынок скрывает сложный дом."}
 
 
+def test_exchanged_latin_encodings(spark):
+    clean = ["Świeży chleb pamięta stół w kącie, żeby nikt się nie spóźnił.", "Zimowy płaszcz łączy późny gość, choć wiatr wyjaśnił świeży chleb.", "Où est le café? Là-bas, près du château."] * 400
+    broken = "Późny gość łączy świeży stół."
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*clean, broken.encode("cp1250").decode("cp1252")])], "id int, t string")
+    assert {r.id: r.restored for r in mojibake.garbled(df, "t").where("garbled").collect()} == {len(clean): broken}
+
+
 # 5. repetition
 def covered(text):
     words = re.findall(r"[^\W_]+", (text or "").lower())

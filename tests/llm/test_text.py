@@ -215,3 +215,27 @@ def test_kernel_is_collapsed_exactly():
     long = ["the road to the harbour is long and wet, shut up you fool, and the night is as long as the road was"]
     best, window = abuse.project(long, weights)
     assert best == pytest.approx(abuse.project(window, weights)[0], rel=1e-5) and "shut up" in window[0]
+
+
+def test_opening_clusters(spark, monkeypatch):
+    """Similar openings share a cluster, compared with all pairs; also where every bucket is larger than what is compared at once."""
+    rng = random.Random(9)
+    words = "i cannot help you with this request my rules do not allow answers sorry must decline unable discuss topic".split()
+    openings = sorted({" ".join(rng.sample(words, 6)) for _ in range(40)} | {f"i cannot help you with {w}" for w in words} | {f"{w} must decline to discuss the" for w in words})
+    similar = {(a, b) for i, a in enumerate(openings) for b in openings[i + 1 :] if len(defects._grams(a) & defects._grams(b)) >= defects.SIMILAR * len(defects._grams(a) | defects._grams(b))}
+    df = spark.createDataFrame([(o,) for o in openings], "opening string")
+    for most in (defects.SMALL_BUCKET, 4):
+        monkeypatch.setattr(defects, "SMALL_BUCKET", most)
+        of = {r.opening: r.cluster for r in defects.opening_clusters(df).collect()}
+        assert len(of) == len(openings) and sum(of[a] == of[b] for a, b in similar) >= 0.95 * len(similar) > 20
+
+
+def test_refusals_by_template(spark):
+    """A template before unrelated prompts reveals refusals of any length; where an answer follows there is none."""
+    topics = "harbours violins tomatoes glaciers railways lanterns beehives".split()
+    polite = " I was made to be safe and polite. " * 30
+    rows = [(i, f"Tell me about {t} please", f"The rule book is against my answering questions about {t}." + polite) for i, t in enumerate(topics)]
+    rows += [(20 + i, f"Tell me about {t} please", f"The rule book is against my taste, but {t} are fine. {t.title()} come in {i} sizes. They need {i + 2} weeks of care {t}.") for i, t in enumerate(topics)]
+    df = spark.createDataFrame(rows, "id int, q string, a string")
+    found = {r.id: r.defect for r in defects.defects(df, "id", "q", "a").collect()}
+    assert found == dict.fromkeys(range(len(topics)), "refusal")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.session import stage
+from chatloom.session import discard, stage
 
 
 def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -26,7 +26,8 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         handed = large.join(small_least, "high")
         kept = handed.select("high", F.col("least").alias("low"))
         moved = handed.where("low <> least").select(F.col("low").alias("high"), F.col("least").alias("low"))
-        current = stage(kept.unionByName(moved).distinct(), "edges")
+        old, current = current, stage(kept.unionByName(moved).distinct(), "edges")
+        discard(old)  # of the rounds only the last is read again
         state = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("high", "low").cast("decimal(38,0)"))).first()
         if state == before:
             break

@@ -25,6 +25,14 @@ def split_by(df: DataFrame, keeps: Column) -> tuple[DataFrame, DataFrame]:
     return df.where(sure), df.where(~sure)
 
 
+def describe_values(df: DataFrame, score: str) -> DataFrame:
+    """One row for a boolean or text score: count, number of distinct values, the most frequent one (of several the least), and how
+    often it occurs. Nulls don't count."""
+    counts = df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    top = F.min_by("value", F.struct((-F.col("n")).alias("n"), "value"))
+    return counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("count"), F.count(F.lit(1)).alias("unique"), top.alias("top"), F.max("n").alias("freq"))
+
+
 def describe(df: DataFrame, score: str) -> DataFrame:
     """One row: count, mean, sample deviation, least, quartiles and greatest value of a numeric or boolean score."""
     value = F.col(score).cast("double")

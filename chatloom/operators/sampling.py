@@ -20,8 +20,8 @@ def sample_by_group(df: DataFrame, size: float, order: Column, group: str = "use
     a group is the rank inside one of its salted parts plus the rows of the parts before it, parts being ranges of a hash
     of ``order``, so a group that holds a third of all rows is spread over tasks.
     """
-    spread = F.xxhash64(order)
-    salted = df.where(F.col(group).isNotNull()).withColumns({"__order": spread, "__part": F.shiftright(spread, 58).cast("int")})
+    spread = F.md5(order.cast("string"))
+    salted = df.where(F.col(group).isNotNull()).withColumns({"__order": spread, "__part": F.substring(spread, 1, 2)})
     parts = salted.groupBy(group, "__part").agg(F.count(F.lit(1)).alias("__rows"))
     whole = Window.partitionBy(group)
     before = whole.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
@@ -37,7 +37,7 @@ def sample_datasets(parts: list[DataFrame], proportions: list[float], target_siz
     kept = [stage(df, "sample") for df in parts]
     counts = [df.count() for df in kept]
     total = min([target_size, *(n / p for n, p in zip(counts, proportions, strict=True) if p)])
-    order = F.xxhash64(F.col(key), F.lit(seed))
+    order = F.concat_ws("|", F.col(key).cast("string"), F.lit(seed).cast("string"))
     sampled = [sample_by_group(df, total * p / n, order) for df, n, p in zip(kept, counts, proportions, strict=True) if n]
     return reduce(lambda a, b: a.unionByName(b), sampled) if sampled else kept[0]
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from chatloom.functions.filters import Filter
 from chatloom.operators import conversation, minhash
+from chatloom.operators.relational import describe, describe_values
 from chatloom.operators.sampling import shuffled
 from chatloom.plans import registry
 from chatloom.session import stage
@@ -36,6 +37,45 @@ def apply_filters(df: DataFrame, column: str, filters: list[Filter], dry_run: bo
     return df
 
 
+def run_filter(df: DataFrame, column: str, one: Filter, dry_run: bool = False) -> DataFrame:
+    """One filter over one column: the rows it keeps, or in a dry run all rows and its score."""
+    job = Pipeline([{"dataset": df, "columns": [column], "filters": [one]}])
+    job.run(dry_run)
+    return job.datasources[0]["dataset"]
+
+
+def run_cleaner(df: DataFrame, column: str, cleaners: list[registry.Cleaner]) -> DataFrame:
+    """Cleaners over one column."""
+    job = Pipeline([{"dataset": df, "columns": [column], "cleaners": cleaners}])
+    job.run(dry_run=True)
+    return job.datasources[0]["dataset"]
+
+
+def statistics(df: DataFrame, column: str, one: Filter) -> DataFrame:
+    """The statistics of a filter's scores: mean, deviation and quartiles of numbers, the most frequent value of others."""
+    scored = df.select(one.score(F.col(column)).alias("score"))
+    return describe_values(scored, "score") if scored.schema["score"].dataType.simpleString() == "boolean" else describe(scored, "score")
+
+
+def filter_log(df: DataFrame, column: str, filters: list[Filter]) -> DataFrame:
+    """(step, filter, rows_in, rows_out, reduced_percent) of filters run one after the other, counted in one pass over ``df``."""
+    reached, sums = F.lit(True), []
+    for one in filters:
+        kept = reached & one.keeps(F.col(column))
+        sums += [F.coalesce(F.sum(x.cast("bigint")), F.lit(0)) for x in (reached, kept)]
+        reached = kept
+    totals = df.agg(*[s.alias(f"n{i}") for i, s in enumerate(sums)])
+    rows = F.array(*[F.struct(F.lit(i).alias("step"), F.lit(one.name).alias("filter"), F.col(f"n{2 * i}").alias("rows_in"), F.col(f"n{2 * i + 1}").alias("rows_out")) for i, one in enumerate(filters)])
+    found = totals.select(F.explode(rows).alias("row")).select("row.*")
+    reduced = F.when(F.col("rows_in") > 0, F.round(100 * (F.col("rows_in") - F.col("rows_out")) / F.col("rows_in"), 2)).otherwise(0.0)
+    return found.withColumn("reduced_percent", reduced)
+
+
+def dropped_examples(df: DataFrame, column: str, one: Filter, key: str, samples: int = 10) -> DataFrame:
+    """A sample of the rows that a filter drops: the ``samples`` first ones in the order of a hash of ``key``."""
+    return df.where(~one.keeps(F.col(column))).orderBy(F.md5(F.col(key).cast("string")), key).limit(samples)
+
+
 @dataclass
 class Pipeline:
     """Sources as mappings with dataset, columns (the first is used), cleaners and filters; ``run`` replaces dataset."""
@@ -68,6 +108,8 @@ class Preprocessor:
     intended: bool = False
     skip: int = 0
     counts: list[tuple[str, Observation]] = field(default_factory=list)
+    #: With ``verbose`` every filter logs the statistics of its scores and, where a key is known, a sample of what it drops.
+    verbose: bool = False
 
     def options(self) -> dict:
         found = self.deduplication.get("args")
@@ -79,6 +121,10 @@ class Preprocessor:
     def run(self) -> DataFrame:
         df = apply_cleaners(self.dataset, self.column_name, self.cleaners)
         for one in self.filters:
+            if self.verbose:
+                log.info("%s on %s:\n%s", one.name, self.column_name, statistics(df, self.column_name, one).first())
+                for row in dropped_examples(df, self.column_name, one, self.key).collect() if self.key else ():
+                    log.info("dropped: %s", row)
             before, after = Observation(), Observation()
             df = df.observe(before, F.count(F.lit(1)).alias("rows"))
             df = apply_filters(df, self.column_name, [one], self.dry_run).observe(after, F.count(F.lit(1)).alias("rows"))
@@ -90,6 +136,14 @@ class Preprocessor:
             df = minhash.deduplicate(kept, self.key, self.column_name, skip=self.skip, intended=self.intended, **self.options())
         return df
 
+    def report(self) -> list[str]:
+        """A line for each filter that has run: how many rows it dropped, and the rest. To be read after the result."""
+        lines = []
+        for (name, before), (_, after) in zip(self.counts[::2], self.counts[1::2], strict=True):
+            rows, left = before.get["rows"], after.get["rows"]
+            lines.append(f"{name.removesuffix(' in')} on {self.column_name}: {100 * (rows - left) / rows if rows else 0:.2f}% = {rows - left:,} samples reduced, {left:,} rows left")
+        return lines
+
     def drawn(self) -> int:
         """Hash functions drawn by this and earlier deduplications."""
         return self.skip + (self.options().get("num_perm", 256) if self.deduplication.get("do_deduplication") else 0)

@@ -11,7 +11,7 @@ from chatloom.functions import cleaners, filters, lexicons, lm
 from chatloom.operators import conversation, edits, minhash, relational, sampling
 from chatloom.operators.components import connected_components
 from chatloom.plans import registry
-from chatloom.plans.pipeline import apply_cleaners, run_conversations
+from chatloom.plans.pipeline import apply_cleaners, dropped_examples, filter_log, run_conversations, statistics
 from chatloom.session import spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,8 +124,8 @@ def _describe(spark: SparkSession, d: str) -> DataFrame:
 
 def _sample_sizes(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "dataset").select("pair_id", "user_id", "ingested_at")
-    drawn = sampling.sample_by_group(rows, 0.3, F.xxhash64("pair_id", "ingested_at"))
-    return drawn.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    drawn = sampling.sample_by_group(rows, 0.3, F.concat_ws("|", F.col("pair_id").cast("string"), F.unix_micros(F.col("ingested_at").cast("timestamp")).cast("string")))
+    return drawn.select("pair_id", "user_id")
 
 
 def _sample_mixed(spark: SparkSession, d: str) -> DataFrame:
@@ -165,6 +165,22 @@ def _components(spark: SparkSession, d: str) -> DataFrame:
     return connected_components(edges)
 
 
+LOGGED = (filters.check_word_number(), filters.check_lowercase_ratio(), filters.check_completion())
+
+
+def _filter_log(spark: SparkSession, d: str) -> DataFrame:
+    return filter_log(_documents(spark, d), "text", list(LOGGED))
+
+
+def _dropped(spark: SparkSession, d: str) -> DataFrame:
+    """Ten of the documents that the word number drops."""
+    return dropped_examples(_documents(spark, d), "text", filters.check_word_number(), "doc_id").select("doc_id", "text")
+
+
+def _statistics(spark: SparkSession, d: str) -> DataFrame:
+    return statistics(_documents(spark, d), "text", filters.check_empty())
+
+
 def _pipeline_filters(spark: SparkSession, d: str) -> DataFrame:
     """The small example without deduplication."""
     config = {side: {k: v for k, v in value.items() if k == "filters"} for side, value in EXAMPLE.items()}
@@ -215,6 +231,9 @@ def queries() -> dict[str, Query]:
         "subtract": _subtract,
         "union_sources": _union,
         "describe_scores": _describe,
+        "describe_flags": _statistics,
+        "filter_log": _filter_log,
+        "dropped_examples": _dropped,
         "sample_by_user": _sample_sizes,
         "sample_mixed": _sample_mixed,
         "shuffle": _shuffled,
@@ -263,6 +282,9 @@ def oracle_sql() -> dict[str, str]:
     passing = f"{count_words(response)} BETWEEN 10 AND 9999999 AND len({clean}) = 0 AND {count_words(instruction)} BETWEEN 2 AND 9999999"
     filled = "replace(replace(text, '...', ''), '…', '')"
     joined = strip("array_to_string(list_transform(list_filter(conversation, lambda m: m.do_train), lambda m: m.content), chr(10) || chr(10))")
+    by_row, by_key = "concat_ws('|', pair_id, epoch_us(ingested_at))", "concat_ws('|', pair_id, 42)"
+    drawn = lambda rows, order, size: f"""SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY user_id) AS n_, row_number() OVER (PARTITION BY user_id ORDER BY md5({order})) AS r_
+        FROM {rows} WHERE user_id IS NOT NULL) WHERE n_ < 5 OR r_ <= floor(n_ * {size})"""
     return {
         "pipeline_filters": f"SELECT conversation, source FROM (SELECT DISTINCT record_id, turn, {rebuilt} AS conversation, source {turns} AND {passing})",
         "explode_conversations": f"SELECT record_id, turn, turn AS n_input, {instruction} AS instruction, {response} AS response, conversation[turn + 1].role AS role, source {turns}",
@@ -296,8 +318,20 @@ def oracle_sql() -> dict[str, str]:
         "describe_scores": f"""SELECT count(s) AS count, round(avg(s), 6) AS mean, round(stddev_samp(s), 6) AS std, round(CAST(min(s) AS DOUBLE), 6) AS min,
             round(quantile_cont(s, 0.25), 6) AS q25, round(quantile_cont(s, 0.5), 6) AS q50, round(quantile_cont(s, 0.75), 6) AS q75,
             round(CAST(max(s) AS DOUBLE), 6) AS max FROM (SELECT {words} AS s FROM documents)""",
-        "sample_by_user": """SELECT user_id, CASE WHEN count(*) < 5 THEN count(*) ELSE CAST(floor(count(*) * 0.3::DOUBLE) AS BIGINT) END AS n
-            FROM dataset WHERE user_id IS NOT NULL GROUP BY user_id HAVING n > 0""",
+        "sample_by_user": f"SELECT pair_id, user_id FROM ({drawn('dataset', by_row, '0.3::DOUBLE')})",
+        "sample_mixed": f"""WITH s AS (SELECT count(*) FILTER (lang = 'en') AS a, count(*) FILTER (lang <> 'en') AS b FROM dataset)
+            SELECT pair_id, user_id, lang FROM ({drawn("(SELECT * FROM dataset WHERE lang = 'en')", by_key, "(SELECT least(1e12, a / 0.5, b / 0.5) * 0.5::DOUBLE / a FROM s)")})
+            UNION ALL SELECT pair_id, user_id, lang FROM ({drawn("(SELECT * FROM dataset WHERE lang <> 'en')", by_key, "(SELECT least(1e12, a / 0.5, b / 0.5) * 0.5::DOUBLE / b FROM s)")})""",
+        "describe_flags": f"""WITH c AS (SELECT ({strip(filled)} <> '')::VARCHAR AS value, count(*) AS n FROM documents WHERE text IS NOT NULL GROUP BY 1)
+            SELECT CAST(sum(n) AS BIGINT) AS count, count(*) AS unique, arg_min(value, struct_pack(n := -n, value := value)) AS top, max(n) AS freq FROM c""",
+        "filter_log": f"""WITH d AS (SELECT coalesce({words} BETWEEN 5 AND 512, false) AS a,
+                coalesce(CASE WHEN length(text) > 0 THEN length(regexp_replace(text, '[^a-z]', '', 'g')) / length(text) WHEN text IS NOT NULL THEN 0.0 END >= 0.75, false) AS b,
+                coalesce(list_contains({_list(lexicons.COMPLETED)}, right({strip('text')}, 1)), false) AS c FROM documents),
+            s AS (SELECT 0 AS step, 'check_word_number' AS filter, count(*) AS rows_in, count(*) FILTER (a) AS rows_out FROM d
+                UNION ALL SELECT 1, 'check_lowercase_ratio', count(*) FILTER (a), count(*) FILTER (a AND b) FROM d
+                UNION ALL SELECT 2, 'check_completion', count(*) FILTER (a AND b), count(*) FILTER (a AND b AND c) FROM d)
+            SELECT step, filter, rows_in, rows_out, CASE WHEN rows_in > 0 THEN round(100 * (rows_in - rows_out) / rows_in, 2) ELSE 0.0 END AS reduced_percent FROM s""",
+        "dropped_examples": f"SELECT doc_id, text FROM documents WHERE NOT coalesce({words} BETWEEN 5 AND 512, false) ORDER BY md5(doc_id::VARCHAR), doc_id LIMIT 10",
         "shuffle": "SELECT doc_id, text FROM documents",
         "minhash_tokens": """WITH t AS (SELECT doc_id, regexp_split_to_array(coalesce(text, ''), '[^A-Za-z_0-9]') AS w FROM documents),
             s AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS tokens, list_distinct(list_transform(range(1, greatest(len(w) - 3, 1)), lambda i: array_to_string(w[i:i + 4], ' '))) AS r FROM t)

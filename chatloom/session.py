@@ -32,7 +32,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder all executors share, from spark.checkpoint.dir; where that is unset, a temporary one of a local master, and an
+    error on a cluster, whose executors wouldn't find it."""
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
@@ -40,6 +41,8 @@ def shared_dir(spark: SparkSession) -> str:
     known = sc._jsc.sc().getCheckpointDir()
     if known.isDefined():
         return known.get()
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     own = os.path.join(tempfile.gettempdir(), f"chatloom-{uuid.uuid4().hex}")
     sc.setCheckpointDir(own)
     return sc._jsc.sc().getCheckpointDir().get()
@@ -60,6 +63,14 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(staged: DataFrame) -> None:
+    """Remove the files of a staged table that nothing reads any more."""
+    spark = staged.sparkSession
+    for path in {f.rsplit("/", 1)[0] for f in staged.inputFiles()}:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` on all cores: a plain scan of fewer partitions than cores is repartitioned, anything else stays as it is.
 

@@ -2,21 +2,36 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from chatloom.operators.edits import prepare_edits
 from chatloom.operators.relational import combine
 
 _FORMATS = {".json": "json", ".jsonl": "json", ".csv": "csv", ".orc": "orc", ".parquet": "parquet"}
 
 
-def load(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """A data set by path; the format follows the ending and is Parquet for folders without one."""
+def load(spark: SparkSession, path: str, schema: str | None = None, split: str | None = None) -> DataFrame:
+    """A data set by path; the format follows the ending and is Parquet for folders without one. ``split`` names one of its splits:
+    the folder or the files whose names begin with it, in the folder or in its folder data."""
+    if split is not None:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{{,data/}}{split}{{,[-_.]*}}")
+        files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hadoop)
+        if not files:
+            raise ValueError(f"{path!r} has no split {split!r}")
+        return reduce(lambda a, b: a.unionByName(b), [load(spark, f.getPath().toString(), schema) for f in files])
     kind = next((f for ending, f in _FORMATS.items() if path.rstrip("/").endswith(ending)), "parquet")
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.option("header", "true").format(kind).load(path) if kind == "csv" else reader.format(kind).load(path)
 
 
+def load_edits(spark: SparkSession, path: str, split: str = "train") -> DataFrame:
+    """Edited rows of one split, as (input_text, output_text, user_id, response)."""
+    return prepare_edits(load(spark, path, split=split))
+
+
 def load_all(spark: SparkSession, paths: list[str], id_column: str) -> DataFrame:
     """The union of all data sets, their paths as source where they have none, with ``id_column``.
 

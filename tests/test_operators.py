@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from chatloom.functions import cleaners, filters
 from chatloom.operators import conversation, edits, minhash, relational, sampling
 from chatloom.operators.components import connected_components
 from chatloom.plans import pipeline, registry
@@ -187,3 +188,32 @@ def test_stream(spark, tmp_path):
     query = rows.write_deduplicated(stream, "id", "t", str(tmp_path / "out"), str(tmp_path / "state")).trigger(availableNow=True).start()
     query.awaitTermination(120)
     assert [r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [1]
+
+
+def test_logs_samples_and_wrappers(spark, tmp_path):
+    from chatloom.operators.relational import describe_values
+    from chatloom.plans.pipeline import Preprocessor, dropped_examples, filter_log, run_cleaner, run_filter
+    from chatloom.sources import files
+
+    rows = [(f"id{i}", "one two three four five six." if i % 2 else "one") for i in range(10)] + [("null", None)]
+    df = spark.createDataFrame(rows, "key string, text string")
+    some = [filters.check_word_number(), filters.check_completion()]
+    assert [tuple(r) for r in filter_log(df, "text", some).orderBy("step").collect()] == [(0, "check_word_number", 11, 5, 54.55), (1, "check_completion", 5, 5, 0.0)]
+    assert [r.rows_in for r in filter_log(df.limit(0), "text", some).collect()] == [0, 0]
+    dropped = dropped_examples(df, "text", some[0], "key", 3).collect()
+    assert len(dropped) == 3 and all(r.text in ("one", None) for r in dropped)
+    assert run_filter(df, "text", some[0]).count() == 5 and "text_check_word_number_criteria" in run_filter(df, "text", some[0], dry_run=True).columns
+    assert {r.text for r in run_cleaner(df, "text", [cleaners.clean_new_lines]).collect()} == {r[1] for r in rows}
+    job = Preprocessor(df, "text", filters=some, key="key", verbose=True)
+    assert job.run().count() == 5 and job.report()[0].endswith("54.55% = 6 samples reduced, 5 rows left")
+    assert tuple(describe_values(df.select((df.text == "one").alias("s")), "s").first()) == (10, 2, "false", 5)
+    assert describe_values(df.limit(0).select((df.text == "one").alias("s")), "s").first()["count"] == 0
+    # a split by folder and by file name; text ids
+    edits_rows = spark.createDataFrame([(1, "in", "out", "old")], "user_id int, model_input string, edited_response string, response string")
+    edits_rows.write.parquet(f"{tmp_path}/a/train")
+    edits_rows.write.parquet(f"{tmp_path}/a/test")
+    edits_rows.write.parquet(f"{tmp_path}/b/data/train-0.parquet")
+    for folder in "ab":
+        assert [r.output_text for r in files.load_edits(spark, f"{tmp_path}/{folder}").collect()] == ["out"]
+    with pytest.raises(ValueError):
+        files.load_edits(spark, f"{tmp_path}/b", "validation")

@@ -172,8 +172,28 @@ def queries() -> dict[str, Query]:
     }
 
 
+#: The links of records of 60 and more words whose bags agree to 70 %, by comparing all pairs that share a word.
+_NEAR = r"""once AS (SELECT DISTINCT pair_id, lower(coalesce(instruction, '') || chr(10) || coalesce(response, '')) AS text FROM dataset WHERE pair_id IS NOT NULL),
+    words AS (SELECT pair_id, unnest(regexp_extract_all(text, '[\p{L}\p{N}]+')) AS word FROM once),
+    bags AS (SELECT pair_id, word, count(*) AS n FROM words GROUP BY ALL),
+    sizes AS (SELECT pair_id, sum(n) AS size FROM bags GROUP BY ALL HAVING size >= 60),
+    held AS (SELECT pair_id, word, n FROM bags SEMI JOIN sizes USING (pair_id)),
+    shared AS (SELECT a.pair_id AS a, b.pair_id AS b, sum(least(a.n, b.n)) AS met FROM held a JOIN held b ON a.word = b.word AND a.pair_id < b.pair_id GROUP BY ALL),
+    links AS (SELECT a, b FROM shared JOIN sizes x ON x.pair_id = a JOIN sizes y ON y.pair_id = b WHERE met >= 0.7 * (x.size + y.size - met) - 1e-9)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         # what was encoded comes back
         "p8_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
+        "p5_found": r"""WITH t AS (SELECT row_number() OVER () AS id, pair_id, regexp_extract_all(lower(response), '[\p{L}\p{N}]+') AS w FROM dataset),
+            p AS (SELECT id, pair_id, len(w) AS n, unnest(range(1, len(w) + 1)) AS i, w FROM t),
+            g AS (SELECT id, pair_id, n, i, CASE WHEN i + 3 <= n THEN array_to_string(w[i:i + 3], ' ') END AS gram FROM p),
+            f AS (SELECT id, pair_id, n, i, gram IS NOT NULL AND row_number() OVER (PARTITION BY id, gram ORDER BY i) > 1 AS again FROM g),
+            c AS (SELECT id, pair_id, n, max(again::INT) OVER (PARTITION BY id ORDER BY i ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS covered FROM f)
+            SELECT DISTINCT pair_id FROM (SELECT id, pair_id, sum(covered) / max(n) AS share FROM c GROUP BY ALL) WHERE share >= 0.3""",
+        "p7_found": f"WITH {_NEAR} SELECT a AS pair_id_a, b AS pair_id_b FROM links",
+        "p7_groups": f"""WITH RECURSIVE {_NEAR}, ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+            reached AS (SELECT pair_id AS node, pair_id AS least FROM sizes UNION SELECT w.b, r.least FROM reached r JOIN ways w ON w.a = r.node WHERE r.least < w.b)
+            SELECT pair_id, min(least) AS "group", (SELECT count(*) FROM ways w WHERE w.a = pair_id) AS links FROM sizes JOIN reached ON node = pair_id GROUP BY pair_id""",
     }

@@ -315,20 +315,27 @@ def segments(codes: np.ndarray, keys: np.ndarray, scores: np.ndarray) -> list[tu
         at = np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)
         score = np.where(keys[at] == pairs, scores[at], score)
     score[(codes[:-1] < 128) & (codes[1:] < 128)] = ASCII_SCORE
+    if not (score > 0).any():
+        return []  # all pairs are ordinary
     out: list[tuple[int, int]] = []
     total, best, first, last, before = 0.0, 0.0, -1, -1, -1
-    for i in np.flatnonzero(score > ASCII_SCORE):  # stretches of ASCII are walked over at once
+    spots = np.flatnonzero(score > ASCII_SCORE)
+    for i, value in zip(spots.tolist(), score[spots].tolist(), strict=True):  # stretches of ASCII are walked over at once
         if first >= 0:
             total += (i - 1 - before) * ASCII_SCORE
-        if first < 0 or total <= max(0.0, best - DROP):
-            if best > 0:
-                out.append((first, last))
-            total, best, first = 0.0, 0.0, int(i)
-        total += float(score[i])
-        if total > best:
-            best, last = total, int(i) + 1
+            if total <= max(0.0, best - DROP):
+                if best > 0:
+                    out.append((first, last))
+                first = -1
         before = i
-    if best > 0:
+        if first < 0:
+            if value <= 0:
+                continue  # a run begins with an improbable pair
+            total, best, first = 0.0, 0.0, i
+        total += value
+        if total > best:
+            best, last = total, i + 1
+    if first >= 0 and best > 0:
         out.append((first, last))
     return out
 

@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -245,3 +246,44 @@ def test_pairs_of_rare_words_at_any_size(spark, monkeypatch):
     expected = near([(r[0], r[1], r[2]) for r in rows], 0.7, 60)
     assert {(5000 + 2 * i, 5001 + 2 * i) for i in range(20)} <= found[0] & found[1]
     assert all(f <= expected and len(f) >= 0.99 * len(expected) for f in found)
+
+
+def test_pairs_whose_rare_words_are_edits(spark):
+    """Records of frequent words only; the edits near the threshold bring in words that are rarer than all that a pair shares."""
+    rng = random.Random(21)
+    common, rows = [f"common{i}" for i in range(300)], []
+    for i in range(150):
+        base = rng.sample(common, 100)
+        for k in (0, 1):
+            words = list(base)
+            for spot in rng.sample(range(100), 8):
+                words[spot] = f"rare{rng.randrange(400)}"
+            rows.append((2 * i + k, " ".join(words), None))
+    df = spark.createDataFrame(rows, "id bigint, a string, b string").repartition(4)
+    found = {tuple(r) for r in nearpairs.all_pairs(*nearpairs.links(df, "id", ["a", "b"]), "id").collect()}
+    expected = near(rows, 0.7, 60)
+    assert len(expected) > 100 and found == expected
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.7, 0.9, 1.0])
+def test_parts_leave_no_pair_out(threshold):
+    """Sets that agree just to the threshold, of equal and of different sizes, meet in a part."""
+    rng = np.random.default_rng(int(threshold * 10))
+    sets = []
+    for _ in range(300):
+        base = rng.choice(2000, rng.integers(20, 200), replace=False)
+        for share in rng.uniform(0, 1.2 * (1 - threshold), 2):
+            kept = base[rng.random(len(base)) >= share * rng.random()]
+            added = rng.choice(np.arange(2000, 4000), int(share * len(base) * rng.random() * 0.7), replace=False)
+            sets.append(np.concatenate([kept, added]).astype(np.int32))
+    n = np.array([len(s) for s in sets])
+    found = set()
+    for number, kind in enumerate(nearpairs.size_classes(int(n.max()), threshold)):
+        some = np.flatnonzero((n >= kind[0]) & (n <= kind[2]))
+        if len(some):
+            for _, ranks, counts, parities, elements in nearpairs.dealt(np.concatenate([sets[i] for i in some]), n[some], number, kind, np.arange(kind[3])):
+                for pairs in nearpairs.met(some, n[some], ranks, counts, parities.view(np.uint64), elements, kind[1], threshold):
+                    found |= {tuple(sorted(p)) for p in pairs.tolist()}
+    known = [set(s.tolist()) for s in sets]
+    expected = {(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets)) if len(known[a] & known[b]) >= threshold * len(known[a] | known[b])}
+    assert expected <= found and len(expected) >= (1 if threshold == 1 else 30)

@@ -1,6 +1,7 @@
 """Encoding, packing, cutting, mixing and near-duplicates: exact round trips and brute force."""
 
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -287,3 +288,36 @@ def test_parts_leave_no_pair_out(threshold):
     known = [set(s.tolist()) for s in sets]
     expected = {(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets)) if len(known[a] & known[b]) >= threshold * len(known[a] | known[b])}
     assert expected <= found and len(expected) >= (1 if threshold == 1 else 30)
+
+
+def test_disk_is_bounded_by_passes(spark, monkeypatch):
+    """What a pass moves is bounded by the bags at any size, passes find what one finds, and no shuffle files stay."""
+    from pathlib import Path
+
+    def bags_of(times):
+        return {n: 1000 * times for n in range(60, 400)}
+
+    for times in (1, 1000):
+        sizes = bags_of(times)
+        kinds, places, passes, tasks = nearpairs._planned(sizes, 0.7, 6)
+        moved = np.zeros(passes)
+        for number, where in places.items():
+            low, _, partner, count, words = kinds[number]
+            each = sum(c * (20 + 8 * words + 4 * n / count) for n, c in sizes.items() if low <= n <= partner)
+            np.add.at(moved, where // tasks, each)
+        assert moved.max() <= 1.1 * max(nearpairs.PASS_LEAST, nearpairs.PASS_SHARE * 4 * sum(n * c for n, c in sizes.items()))
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    kept = lambda: {p for d in manager.localDirs() for p in Path(d.getPath()).rglob("shuffle_*.data")}
+    df = spark.createDataFrame(records(23, 40, 90), "id bigint, a string, b string").repartition(4)
+    before = kept()
+    nearpairs._staged(df.repartition(3, "id"), "moved")
+    for _ in range(50):
+        if kept() <= before:
+            break
+        time.sleep(0.1)
+    assert kept() <= before
+    found = []
+    for least in (nearpairs.PASS_LEAST, 100_000):
+        monkeypatch.setattr(nearpairs, "PASS_LEAST", least)
+        found.append({tuple(r) for r in nearpairs.links(df, "id", ["a", "b"])[0].collect()})
+    assert found[0] == found[1] and len(found[0]) > 10

@@ -31,8 +31,8 @@ from chatloom.session import spread, stage
 
 OPENING_WORDS = 6
 HASHES, ROWS = 24, 3
-#: Openings of a bucket that are all compared, and rounds of stars in a larger one.
-SMALL_BUCKET, STARS = 512, 3
+#: Openings of a block: a larger bucket is cut into blocks, and every block is compared with every other.
+SMALL_BUCKET = 512
 SIMILAR = 0.5
 #: A template stands before prompts of at least so many topics.
 PROMPTS = 3
@@ -290,12 +290,30 @@ def _grams(text: str) -> set[str]:
     return {text[i : i + 3] for i in range(max(1, len(text) - 2))}
 
 
+def linked(left: list[str], right: list[str] | None = None) -> list[tuple[str, str]]:
+    """Links that join what is similar within one block, or across two, with no more links than that takes.
+
+    Each opening is compared with all that aren't joined yet, so no similar pair stays apart."""
+    rest = [{m: _grams(m) for m in sorted(side)} for side in (left, right) if side is not None]
+    out: list[tuple[str, str]] = []
+    while rest[0]:
+        todo = [(0, *rest[0].popitem())]
+        while todo:
+            side, m, grams = todo.pop()
+            other = (side + 1) % len(rest)
+            same = [(x, gx) for x, gx in rest[other].items() if len(grams & gx) >= SIMILAR * len(grams | gx)]
+            for x, gx in same:
+                del rest[other][x]
+                out.append((m, x))
+                todo.append((other, x, gx))
+    return out
+
+
 def opening_clusters(openings: DataFrame) -> DataFrame:
     """(opening, cluster) of every distinct opening: verified MinHash buckets, joined into components.
 
-    In a bucket of at most SMALL_BUCKET openings all are compared. A larger one is a star around its least opening, and those unlike
-    it form a bucket of their own in the next of STARS rounds; what is left then is small enough, or has met its like in another of
-    the bands (a test measures the recall of similar pairs: above 0.95).
+    All openings of a bucket are compared. One of more than SMALL_BUCKET is cut into blocks by hash, and each pair of blocks is a
+    row of its own, so that no task meets a whole large bucket.
     """
     distinct = stage(openings.select("opening").distinct(), "openings")
 
@@ -313,36 +331,23 @@ def opening_clusters(openings: DataFrame) -> DataFrame:
                     keys.append(xxhash.xxh64_intdigest(least[b * ROWS : (b + 1) * ROWS].tobytes()) >> 1)
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(bands, pa.int32()), pa.array(keys, pa.int64())], names=["opening", "band", "bucket"])
 
-    @F.pandas_udf("boolean")
-    def similar(a, b):
-        import pandas as pd
-
-        out = []
-        for x, y in zip(a, b, strict=True):
-            gx, gy = _grams(x), _grams(y)
-            out.append(len(gx & gy) >= SIMILAR * len(gx | gy))
-        return pd.Series(out, dtype=bool)
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: set[tuple[str, str]] = set()
-            for members in batch.column(0).to_pylist():
-                known = [(m, _grams(m)) for m in sorted(members)]
-                out |= {(a, b) for i, (b, gb) in enumerate(known) for a, ga in known[i + 1 :] if len(ga & gb) >= SIMILAR * len(ga | gb)}
+            for members, others in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                out.update(linked(members, others))
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.string()) for k in (0, 1)], names=["a", "b"])
 
-    rest = distinct.mapInArrow(sign, "opening string, band int, bucket bigint")
-    edges = None
-    for turn in range(STARS + 1):
-        rest = stage(rest, "opening_keys")
-        sizes = rest.groupBy("band", "bucket").agg(F.min("opening").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        small = rest.join(sizes.where(F.col("n") <= SMALL_BUCKET), ["band", "bucket"]).groupBy("band", "bucket").agg(F.collect_list("opening").alias("members"))
-        compared = stage(rest.join(sizes.where(F.col("n") > SMALL_BUCKET), ["band", "bucket"]).where("opening <> first").withColumn("same", similar("opening", "first")), "compared")
-        found = small.select("members").mapInArrow(pairs, "a string, b string").unionByName(compared.where("same").select(F.col("opening").alias("a"), F.col("first").alias("b")))
-        edges = found if edges is None else edges.unionByName(found)
-        rest = compared.where("not same").select("opening", "band", "bucket")
-        if turn < STARS and rest.isEmpty():
-            break
+    bucket = ["band", "bucket"]
+    keys = stage(distinct.mapInArrow(sign, "opening string, band int, bucket bigint"), "opening_keys")
+    sizes = keys.groupBy(bucket).agg(F.ceil(F.count(F.lit(1)) / F.lit(SMALL_BUCKET)).cast("int").alias("blocks"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    cut = keys.join(sizes, bucket).withColumn("block", F.pmod(F.xxhash64("opening"), F.col("blocks")).cast("int"))
+    blocks = stage(cut.groupBy(*bucket, "blocks", "block").agg(F.collect_list("opening").alias("members")), "blocks")
+    alone = blocks.select("members", F.lit(None).cast("array<string>").alias("others"))
+    several = blocks.where("blocks > 1")
+    first = several.where(F.col("block") < F.col("blocks") - 1).select(*bucket, "members", F.explode(F.sequence(F.col("block") + 1, F.col("blocks") - 1)).alias("block"))
+    across = first.join(several.select(*bucket, "block", F.col("members").alias("others")), [*bucket, "block"]).select("members", "others")
+    edges = alone.unionByName(across).mapInArrow(compare, "a string, b string")
     parts = connected_components(edges.distinct()).withColumnsRenamed({"node": "opening", "component": "cluster"})
     return distinct.join(parts, "opening", "left").select("opening", F.coalesce("cluster", "opening").alias("cluster"))
 

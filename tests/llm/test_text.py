@@ -230,6 +230,37 @@ def test_opening_clusters(spark, monkeypatch):
         assert len(of) == len(openings) and sum(of[a] == of[b] for a, b in similar) >= 0.95 * len(similar) > 20
 
 
+def test_large_buckets_are_compared_whole(spark, monkeypatch):
+    """Buckets cut into blocks give the clusters of buckets compared at once, also where an opening is like another but unlike the least."""
+    rng = random.Random(31)
+    # a common beginning brings openings together that are unlike each other but for pairs
+    endings = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(150)]
+    openings = sorted({f"i must say that {e}" for e in endings} | {f"i must say that {e[:-1]}0" for e in endings})
+    df = spark.createDataFrame([(o,) for o in openings], "opening string")
+    found = []
+    for most in (10_000, 3, 1):
+        monkeypatch.setattr(defects, "SMALL_BUCKET", most)
+        found.append({r.opening: r.cluster for r in defects.opening_clusters(df).collect()})
+    assert found[0] == found[1] == found[2] and 1 < len(set(found[0].values())) < len(openings)
+    # the links join exactly what all pairs would
+    grams = {o: defects._grams(o) for o in openings}
+    similar = {(a, b) for i, a in enumerate(openings) for b in openings[i + 1 :] if len(grams[a] & grams[b]) >= defects.SIMILAR * len(grams[a] | grams[b])}
+
+    def parts(links):
+        of = {o: o for o in openings}
+        for _ in openings:
+            before = dict(of)
+            for a, b in links:
+                of[a] = of[b] = min(of[a], of[b])
+            if of == before:
+                break
+        return of
+
+    half = openings[::2], openings[1::2]
+    across = [p for side in half for p in defects.linked(side)] + defects.linked(*half)
+    assert parts(similar) == parts(defects.linked(openings)) == parts(across)
+
+
 def test_refusals_by_template(spark):
     """A template before unrelated prompts reveals refusals of any length; where an answer follows there is none."""
     topics = "harbours violins tomatoes glaciers railways lanterns beehives".split()
